@@ -69,10 +69,13 @@ def top_vocabulary(df: DataFrame, tokens_col: str, k: int) -> DataFrame:
 def word_ngrams(tokens, n_min: int = 2, n_max: int = 4):
     """Column: all word n-grams (space-joined) for n in [n_min, n_max] (FE3)."""
     def grams(n):
-        return F.when(F.size(tokens) >= n, F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - n + 1),
-            lambda i: F.array_join(F.slice(tokens, i, n), " "))
-        ).otherwise(F.array().cast("array<string>"))
+        # zip n shifted slices; tokens contain no spaces, so joining pairwise
+        # equals joining the n-token window
+        m = F.greatest(F.size(tokens) - n + 1, F.lit(0))
+        acc = F.slice(tokens, 1, m)
+        for k in range(2, n + 1):
+            acc = F.zip_with(acc, F.slice(tokens, k, m), lambda a, b: F.concat_ws(" ", a, b))
+        return acc
     return F.flatten(F.array(*[grams(n) for n in range(n_min, n_max + 1)]))
 
 

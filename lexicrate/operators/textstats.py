@@ -24,14 +24,21 @@ def text_statistics(df: DataFrame, text_col: str, *, keep: list[str] | None = No
     """Token, sentence, length and sentence-length-variance numbers per row (TS1)."""
     toks = F.size(raw_word_tokens(text_col)).cast("long")
     sent_lens = F.transform(sentences(text_col),
-                            lambda s: F.size(F.regexp_extract_all(s, F.lit(WORD_OR_PUNCT), 0)))
-    n_sent = F.size("_sl").cast("long")
-    mean = F.aggregate("_sl", F.lit(0.0), lambda a, x: a + x) / n_sent
-    var = F.aggregate("_sl", F.lit(0.0), lambda a, x: a + (x - F.col("_mean")) * (x - F.col("_mean"))) / n_sent
-    base = df.select(*(keep or []), toks.alias("num_tokens_per_doc"),
-                     sent_lens.alias("_sl"),
+                            lambda s: F.size(F.regexp_extract_all(s, F.lit(WORD_OR_PUNCT), 0)).cast("long"))
+    # One pass over the sentence lengths: count, sum and sum of squares as
+    # exact integers.  No lambda refers to an outer column, so the optimizer
+    # can never inline the (regex) sentence split into a per-element loop.
+    moments = F.aggregate(sent_lens, F.struct(F.lit(0).cast("long").alias("n"),
+                                              F.lit(0).cast("long").alias("s"),
+                                              F.lit(0).cast("long").alias("q")),
+                          lambda acc, x: F.struct((acc["n"] + 1).alias("n"), (acc["s"] + x).alias("s"),
+                                                  (acc["q"] + x * x).alias("q")))
+    base = df.select(*(keep or []), toks.alias("num_tokens_per_doc"), moments.alias("_m"),
                      F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("num_chars_per_doc"))
-    base = base.withColumn("_mean", F.when(n_sent > 0, mean))
+    n_sent = F.col("_m.n")
+    # population variance = (n*q - s^2) / n^2, exact in integers before the division
+    var = ((n_sent * F.col("_m.q") - F.col("_m.s") * F.col("_m.s")).cast("double")
+           / (n_sent * n_sent).cast("double"))
     return base.select(
         *(keep or []),
         "num_tokens_per_doc",

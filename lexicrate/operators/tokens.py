@@ -66,6 +66,13 @@ def remove_stopwords(tokens, stopwords: list[str]):
     return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
 
 
+def adjacent_pairs(tokens, combine):
+    """Column: ``combine(t[i], t[i+1])`` for every adjacent pair, built by
+    zipping two shifted slices (the lambda reads only its own arguments)."""
+    m = F.greatest(F.size(tokens) - 1, F.lit(0))
+    return F.zip_with(F.slice(tokens, 1, m), F.slice(tokens, 2, m), combine)
+
+
 def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
                  min_npmi: float = 0.5) -> DataFrame:
     """Adjacent word pairs that co-occur more than chance (T5).
@@ -74,10 +81,7 @@ def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
     with partial aggregation, then scored by normalised PMI against unigram
     counts.  Columns: phrase, n, npmi."""
     toks = F.col(tokens_col)
-    bigrams = F.when(F.size(toks) >= 2, F.transform(
-        F.sequence(F.lit(1), F.size(toks) - 1),
-        lambda i: F.struct(toks[i - 1].alias("a"), toks[i].alias("b")))) \
-        .otherwise(F.array().cast("array<struct<a:string,b:string>>"))
+    bigrams = adjacent_pairs(toks, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     uni = (df.select(F.explode(toks).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("nw")))
     bi = (df.select(F.explode(bigrams).alias("g")).select("g.a", "g.b")
           .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
@@ -96,9 +100,7 @@ def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
 def append_phrases(tokens, phrases: list[str]):
     """Column: token set with the joined form of every listed phrase found (T5)."""
     joined = F.array(*[F.lit(p) for p in phrases]) if phrases else F.array().cast("array<string>")
-    pairs = F.when(F.size(tokens) >= 2, F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - 1),
-        lambda i: F.concat_ws(" ", tokens[i - 1], tokens[i]))).otherwise(F.array().cast("array<string>"))
+    pairs = adjacent_pairs(tokens, lambda a, b: F.concat_ws(" ", a, b))
     found = F.filter(pairs, lambda p: F.array_contains(joined, p))
     return F.array_distinct(F.concat(tokens, F.transform(found, lambda p: F.regexp_replace(p, " ", ""))))
 

@@ -5,7 +5,8 @@ import importlib
 from lexicrate.plans.registry import ORACLES, QUERIES
 
 _MODULES = ["keyness_queries", "profile_queries", "textstats_queries", "tokens_queries",
-            "features_queries", "dedup_queries"]
+            "features_queries", "dedup_queries",
+            "eval_queries", "embed_queries"]
 for _m in _MODULES:
     importlib.import_module(f"lexicrate.plans.{_m}")
 
