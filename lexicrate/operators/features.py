@@ -18,16 +18,21 @@ from lexicrate.functions.text import char_ngrams, jaccard
 
 
 # ---------------------------------------------------------------- TF-IDF ----
-def tfidf_long(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
+def tfidf_long(df: DataFrame, id_col: str, tokens_col: str, *,
+               only_ids: DataFrame | None = None) -> DataFrame:
     """Relational TF-IDF (FE1): raw term count, smoothed idf
     ``ln((1+n)/(1+df)) + 1`` over all rows, L2-normalised per row.
 
     Columns: id, term, tf, weight.  Shuffles: (id, term) counts, term document
-    frequencies, and the per-row norm (a group is one document)."""
+    frequencies, and the per-row norm (a group is one document).  With
+    ``only_ids`` the idf still comes from every row, but weights and norms are
+    produced only for the listed rows."""
     n_docs = df.select(F.count(F.lit(1))).scalar()
     tf = (df.select(id_col, F.explode(tokens_col).alias("term"))
           .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    if only_ids is not None:
+        tf = tf.join(only_ids.select(id_col).distinct(), id_col, "left_semi")
     w = (tf.join(dfreq, "term")
          .withColumn("raw", F.col("tf") * (F.log((n_docs + 1) / (F.col("df") + 1)) + 1)))
     norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))

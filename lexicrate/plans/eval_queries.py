@@ -33,7 +33,10 @@ def predictions(spark, sf):
     read several times by the evaluation operators, so it is written once to
     the checkpoint folder."""
     from lexicrate.session import materialize
-    f = _featured(spark, sf)
+    # the feature table feeds both the fit (train rows) and the prediction
+    # (test rows): written once, which also keeps the regex statistics from
+    # being re-evaluated inside the generator of the fit
+    f = materialize(_featured(spark, sf))
     cents = materialize(EV.fit_centroids(f.where(F.col("split") == "train"), "features", "label"))
     return materialize(EV.predict_centroids(f.where(F.col("split") == "test"), "features", cents))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, CountVectorizer, IDF, Normalizer, StandardScaler
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -18,6 +18,13 @@ def _stats(spark, sf):
     return T.text_statistics(table(spark, sf, "documents"), "text", keep=["doc_id", "lang"])
 
 
+def _stats_long(spark, sf):
+    """Long (stat, value) table of the plotted statistics.  Summaries read it
+    more than once, so the per-document statistics are written once."""
+    from lexicrate.session import materialize
+    return T.to_long(materialize(_stats(spark, sf)), T.PLOTTED_STATS)
+
+
 def _rounded(df, cols, digits=6):
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -80,13 +87,13 @@ SELECT g.stat, g.bin, round(g.lo + (g.hi - g.lo) * g.bin / 30, 6) AS bin_lo,
 FROM grid g LEFT JOIN binned b ON b.stat = g.stat AND b.bin = g.bin
 """)
 def stat_histogram(spark, sf):
-    long = T.to_long(_stats(spark, sf), T.PLOTTED_STATS)
+    long = _stats_long(spark, sf)
     return _rounded(T.histogram(long, bins=30), ["bin_lo", "bin_hi"])
 
 
 @query("stat_density")
 def stat_density(spark, sf):
-    long = T.to_long(_stats(spark, sf), T.PLOTTED_STATS)
+    long = _stats_long(spark, sf)
     return T.density(long, points=200)
 
 
@@ -101,7 +108,7 @@ SELECT q.stat, q.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6)
 FROM long l JOIN q ON q.stat = l.stat GROUP BY q.stat, q.n, q1, median, q3
 """)
 def box_summary(spark, sf):
-    long = T.to_long(_stats(spark, sf), T.PLOTTED_STATS)
+    long = _stats_long(spark, sf)
     return _rounded(T.box_summary(long), ["q1", "median", "q3", "whisker_lo", "whisker_hi"])
 
 
@@ -137,12 +144,8 @@ def pca_embeddings(spark, sf):
 def pca_tfidf(spark, sf):
     """TF-IDF over a 1000-term vocabulary, scaled without centring, two
     principal axes (TS8)."""
+    from lexicrate.operators.features import tfidf_vectors
     d = table(spark, sf, "documents").select("doc_id", "lang", vector_tokens("text").alias("tokens"))
-    cv = CountVectorizer(inputCol="tokens", outputCol="tf", vocabSize=1000).fit(d)
-    tf = cv.transform(d)
-    idf = IDF(inputCol="tf", outputCol="idf_part").fit(tf).transform(tf)
-    from lexicrate.operators.features import add_vectors
-    tfidf = add_vectors(idf, "idf_part", "tf", "raw_tfidf")
-    normed = Normalizer(inputCol="raw_tfidf", outputCol="features", p=2.0).transform(tfidf)
+    normed, _ = tfidf_vectors(d, "tokens", out="features", vocab_size=1000)
     return _pca_2d(normed.select("doc_id", "lang", "features"), "features",
                    with_mean=False, with_std=True, id_col="doc_id")

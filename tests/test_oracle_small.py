@@ -73,3 +73,17 @@ def test_every_survey_query_is_registered():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(SURVEY_KEYS) <= set(q)
+
+
+@pytest.mark.parametrize("name", ["top_keyness", "near_duplicate_pairs", "stratified_split"])
+def test_partition_invariance(spark, name):
+    q = E.queries()[name]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = _rows(q(spark, SF).toPandas())
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        eight = _rows(q(spark, SF).toPandas())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert one == eight
