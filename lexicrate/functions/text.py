@@ -131,3 +131,17 @@ def char_ngrams(col: Column | str, n_min: int = 2, n_max: int = 4) -> Column:
 
 def first_line(col: Column | str) -> Column:
     return F.split_part(_c(col), F.lit("\n"), F.lit(1))
+
+
+def explode_tokens(df, tokens, *, keep: list, alias: str = "token", with_pos: str | None = None):
+    """Rows of ``keep`` columns with one token each; rows with no tokens vanish.
+
+    ``explode_outer`` plus a filter on the generated column gives the same
+    rows as ``explode``, but stops the optimizer from inferring a
+    ``size(tokens) > 0`` filter and pushing that (a second tokenisation) below
+    an earlier repartition, where it would run before the work is spread."""
+    if with_pos:
+        out = df.select(*keep, F.posexplode_outer(tokens).alias(with_pos, alias))
+    else:
+        out = df.select(*keep, F.explode_outer(tokens).alias(alias))
+    return out.where(F.col(alias).isNotNull())

@@ -14,7 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexicrate.functions.text import char_ngrams, jaccard
+from lexicrate.functions.text import char_ngrams, explode_tokens, jaccard
 
 
 # ---------------------------------------------------------------- TF-IDF ----
@@ -28,7 +28,7 @@ def tfidf_long(df: DataFrame, id_col: str, tokens_col: str, *,
     ``only_ids`` the idf still comes from every row, but weights and norms are
     produced only for the listed rows."""
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    tf = (df.select(id_col, F.explode(tokens_col).alias("term"))
+    tf = (explode_tokens(df, F.col(tokens_col), keep=[id_col], alias="term")
           .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if only_ids is not None:
@@ -66,7 +66,7 @@ def add_vectors(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 def top_vocabulary(df: DataFrame, tokens_col: str, k: int) -> DataFrame:
     """The k terms with the highest corpus count, ties by term (FE2)."""
-    return (df.select(F.explode(tokens_col).alias("term"))
+    return (explode_tokens(df, F.col(tokens_col), keep=[], alias="term")
             .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("n").desc(), F.col("term").asc()).limit(k))
 

@@ -61,8 +61,8 @@ def stopword_frequency(df: DataFrame, text_col: str, stopwords: DataFrame) -> Da
     """Occurrences of each stop word in the lower-cased whitespace tokens (TS2).
 
     ``stopwords`` is a fixed one-column table (``word``) and is broadcast."""
-    from lexicrate.functions.text import whitespace_tokens
-    words = df.select(F.explode(whitespace_tokens(text_col)).alias("word"))
+    from lexicrate.functions.text import explode_tokens, whitespace_tokens
+    words = explode_tokens(df, whitespace_tokens(text_col), keep=[], alias="word")
     return (words.join(F.broadcast(stopwords), "word", "left_semi")
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 

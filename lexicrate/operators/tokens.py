@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicrate.functions.text import word_tokens
+from lexicrate.functions.text import explode_tokens, word_tokens
 
 # A lexicon or vocabulary given as a Python mapping/list up to this size is
 # compiled into the expression (no join, no shuffle); larger ones are joined.
@@ -21,7 +21,7 @@ INLINE_LIMIT = 5000
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row_id, pos, token) for the normalised tokens of every row."""
-    return df.select(F.col(id_col), F.posexplode(word_tokens(text_col)).alias("pos", "token"))
+    return explode_tokens(df, word_tokens(text_col), keep=[F.col(id_col)], with_pos="pos")
 
 
 def _regroup(exploded: DataFrame, id_col: str, token_col: str, ids: DataFrame,
@@ -82,8 +82,8 @@ def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
     counts.  Columns: phrase, n, npmi."""
     toks = F.col(tokens_col)
     bigrams = adjacent_pairs(toks, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    uni = (df.select(F.explode(toks).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("nw")))
-    bi = (df.select(F.explode(bigrams).alias("g")).select("g.a", "g.b")
+    uni = (explode_tokens(df, toks, keep=[], alias="w").groupBy("w").agg(F.count(F.lit(1)).alias("nw")))
+    bi = (explode_tokens(df, bigrams, keep=[], alias="g").select("g.a", "g.b")
           .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
     n_uni = uni.select(F.sum("nw")).scalar()
     n_bi = bi.select(F.sum("n")).scalar()
@@ -112,7 +112,7 @@ def select_tokens(df: DataFrame, id_col: str, tokens_col: str, vocabulary: DataF
 
     The vocabulary can be large, so this is a semi join on the token; each
     document is then rebuilt from its own (pos, token) rows."""
-    ex = df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    ex = explode_tokens(df, F.col(tokens_col), keep=[id_col], with_pos="pos")
     kept = ex.join(vocabulary.select("token").distinct(), "token", "left_semi")
     rebuilt = _regroup(kept, id_col, "token", df).withColumnRenamed("tokens", "_kept")
     return (df.join(rebuilt, id_col, "left")

@@ -57,7 +57,8 @@ SELECT ngram, count(*) AS n FROM g GROUP BY ngram
 """)
 def ngram_counts(spark, sf):
     d = _docs(spark, sf).select(vector_tokens(first_line("text")).alias("t"))
-    return (d.select(F.explode(FE.word_ngrams(F.col("t"), 2, 4)).alias("ngram"))
+    from lexicrate.functions.text import explode_tokens
+    return (explode_tokens(d, FE.word_ngrams(F.col("t"), 2, 4), keep=[], alias="ngram")
             .groupBy("ngram").agg(F.count(F.lit(1)).alias("n")))
 
 
