@@ -55,7 +55,7 @@ SELECT doc_id, chunk_no, dim, round(value, 6) AS value FROM enc WHERE round(valu
 """)
 def hash_encode(spark, sf):
     e = _encoded(spark, sf)
-    return (e.select("doc_id", "chunk_no", F.posexplode("embedding").alias("dim", "value"))
+    return (e.select("doc_id", "chunk_no", F.posexplode_outer("embedding").alias("dim", "value"))
             .where(F.round("value", 9) != 0)
             .select("doc_id", "chunk_no", F.col("dim").cast("long").alias("dim"),
                     F.round("value", 6).alias("value")))
@@ -71,7 +71,7 @@ FROM ws JOIN tot ON tot.doc_id = ws.doc_id WHERE round(ws.s / tot.total, 9) <> 0
 """)
 def weighted_mean_embedding(spark, sf):
     pooled = EM.weighted_mean_embedding(_encoded(spark, sf), "doc_id")
-    return (pooled.select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    return (pooled.select("doc_id", F.posexplode_outer("embedding").alias("dim", "value"))
             .where(F.round("value", 9) != 0)
             .select("doc_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value")))
 
