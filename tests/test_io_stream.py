@@ -35,3 +35,19 @@ def test_stream_restart_adds_only_new_rows(spark):
     run_to_completion(spark, src, sch, out, ck, id_col="doc_id", text_col="text")
     ids = sorted(r.doc_id for r in spark.read.parquet(out).collect())
     assert first == 2 and ids == [1, 2, 3]
+
+
+def test_tsv_row_ids_are_contiguous_in_file_order(spark):
+    d = tempfile.mkdtemp(prefix="lexi-tsv2-")
+    p = os.path.join(d, "big.txt")
+    with open(p, "w", encoding="utf-8") as fh:
+        for i in range(3000):
+            fh.write(f"t{i}\tUS\tdrama\tA\tplot {i}\n")
+    cols = ["title", "from", "genre", "director", "description"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")   # several splits
+    try:
+        rows = IO.read_corpus_tsv(spark, p, cols).select("row_id", "title").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.row_id, r.title) for r in rows) == [(i, f"t{i}") for i in range(3000)]
