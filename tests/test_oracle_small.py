@@ -87,3 +87,19 @@ def test_partition_invariance(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert one == eight
+
+
+PLAN_CHECKED = ["top_keyness", "log_ratio", "scree_counts", "keyness_selection", "select_tokens",
+                "near_duplicate_pairs", "pair_differences", "duplicate_rows", "conflicting_duplicates",
+                "text_statistics", "stat_histogram", "box_summary", "tfidf_weights", "mine_phrases",
+                "ngram_counts", "similarity_encode", "stratified_split", "encode_directors",
+                "hash_encode", "weighted_mean_embedding", "centroid_predict", "confusion_matrix",
+                "classification_report", "rule_agreement"]
+
+
+@pytest.mark.parametrize("name", PLAN_CHECKED)
+def test_plan_has_no_python_udf_or_cartesian(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, (name, bad)
