@@ -105,6 +105,24 @@ def append_phrases(tokens, phrases: list[str]):
     return F.array_distinct(F.concat(tokens, F.transform(found, lambda p: F.regexp_replace(p, " ", ""))))
 
 
+def append_phrases_join(df: DataFrame, id_col: str, tokens_col: str, phrases: DataFrame,
+                        *, out: str = "with_phrases") -> DataFrame:
+    """Token set plus the joined form of every phrase (column ``phrase``,
+    words separated by one space) that occurs as adjacent tokens (T5).
+
+    Any number of phrases: adjacent pairs are semi-joined with the phrase
+    table and the matches are gathered per document (a group is one
+    document), so nothing passes through the driver."""
+    pairs = explode_tokens(df, adjacent_pairs(F.col(tokens_col), lambda a, b: F.concat_ws(" ", a, b)),
+                           keep=[id_col], alias="phrase")
+    found = (pairs.join(phrases.select("phrase").distinct(), "phrase", "left_semi")
+             .groupBy(id_col).agg(F.collect_set(F.regexp_replace("phrase", " ", "")).alias("_found")))
+    return (df.join(found, id_col, "left")
+            .withColumn(out, F.array_distinct(F.concat(
+                F.col(tokens_col), F.coalesce("_found", F.array().cast("array<string>")))))
+            .drop("_found"))
+
+
 def select_tokens(df: DataFrame, id_col: str, tokens_col: str, vocabulary: DataFrame,
                   *, out: str = "selected") -> DataFrame:
     """Keep the tokens that are in ``vocabulary`` (column ``token``), order and

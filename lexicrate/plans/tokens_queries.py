@@ -90,12 +90,7 @@ def preprocess_text(spark, sf):
     d = T.lexicon_normalise(_docs(spark, sf), "tokens", CONTRACTIONS, out="norm")
     d = d.withColumn("kept", T.remove_stopwords(F.col("norm"), ENGLISH_STOPWORDS))
     phrases = T.mine_phrases(d, "kept", min_count=PHRASE_MIN_COUNT, min_npmi=0.9)
-    # The phrase list is consumed as a set literal; it is bounded by the count
-    # and score thresholds, and checked before it is inlined.
-    n_phr = phrases.count()
-    plist = [r.phrase for r in phrases.orderBy("phrase").limit(T.INLINE_LIMIT).collect()] \
-        if n_phr <= T.INLINE_LIMIT else []
-    out = d.withColumn("final", T.append_phrases(F.col("kept"), plist) if plist else F.col("kept"))
+    out = T.append_phrases_join(d, "doc_id", "kept", phrases, out="final")
     return out.select("doc_id", F.array_join("final", " ").alias("text_pre"))
 
 

@@ -61,3 +61,11 @@ def test_centroid_prediction(spark):
     te = spark.createDataFrame([(1, [0.0, 1.5]), (2, [9.0, 9.0])], "id long, f array<double>")
     pred = {r.id: r.prediction for r in EV.predict_centroids(te, "f", EV.fit_centroids(tr, "f", "label")).collect()}
     assert pred == {1: "a", 2: "b"}
+
+
+def test_append_phrases_join(spark):
+    df = spark.createDataFrame([(1, ["new", "york", "city"]), (2, ["york", "new"]), (3, [])],
+                               "id long, toks array<string>")
+    ph = spark.createDataFrame([("new york",)], "phrase string")
+    got = {r.id: sorted(r.with_phrases) for r in TK.append_phrases_join(df, "id", "toks", ph).collect()}
+    assert got == {1: ["city", "new", "newyork", "york"], 2: ["new", "york"], 3: []}
