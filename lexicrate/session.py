@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Conservative defaults for a local session; a cluster submit overrides them.
 LOCAL_DEFAULTS = {
@@ -39,28 +40,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is made.
+    The folder set on the SparkContext wins, then ``spark.checkpoint.dir``.  A
+    scratch folder is made only for a local master (tests); on a cluster a
+    missing setting is an error, because executors share no local folder.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="lexicrate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
+        return conf_dir
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+    return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and return a DataFrame that
-    reads it back (cuts lineage; survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and return a
+    DataFrame that reads it back: lineage is cut, a lost executor costs
+    nothing, and later scans prune columns.  The files go when the session's
+    JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back."""
+    return store(df, "materialized")
