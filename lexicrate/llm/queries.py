@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexicrate.llm import exact, mixing, packing
+from lexicrate.llm import exact, mixing, packing, quality, simhash
 
 QUERIES, ORACLES = {}, {}
 
@@ -38,3 +38,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
