@@ -15,9 +15,13 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right, insort
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -25,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexicrate.llm.words import portions
 from lexicrate.session import store
 
 LENGTH, END_ID = 4096, 1
@@ -34,39 +39,75 @@ GROUP, NODES, FILLINGS = 8192, 4000, 8
 REMEMBERED = 1 << 20
 
 
-def token_ids(tokenizer_path: str):
-    """A function from texts to one id array and the number of ids of each text.
-
-    The tokenizer never joins characters across ASCII white space (it drops
-    white space and cuts there first), so a word has the same ids wherever it
-    stands, and each different word is encoded once."""
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer_path)
-    known: dict[bytes, int] = {}
-    ids: list[np.ndarray] = []
-
-    def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        if len(known) > REMEMBERED:
-            known.clear()
-            ids.clear()
-        words = [(t or "").encode().split() for t in texts]  # the six ASCII white-space bytes
-        new = list({w for ws in words for w in ws if w not in known})
-        for w, e in zip(new, tok.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = len(ids)
-            ids.append(np.array(e.ids, np.uint32))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        first = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else np.zeros(0, np.int64)
-        out, counts = [], np.zeros(len(texts), np.int64)
-        for i, ws in enumerate(words):
-            at = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            n = sizes[at]
-            counts[i] = total = int(n.sum())
-            step = np.arange(total) + np.repeat(first[at] - (np.cumsum(n) - n), n)
-            out.append(flat[step])
-        return (np.concatenate(out) if out else np.zeros(0, np.uint32)), counts
-
-    return encode
+#: The usual word: Latin-1 letters, which are their own normal form, then ASCII marks but ' and <, which can begin a token of their own.
+USUAL = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=-@\[-`{-~]*)")
+
+
+class TokenIds:
+    """From texts to one id array and the number of ids of each text.
+
+    The tokenizer drops white space and cuts there first, so a word has the
+    same ids wherever it stands and each different word is encoded once.  A
+    usual word is cut into its letters and its marks, as the tokenizer cuts it,
+    and the letters go to the tokenizer's model; all others go through the whole tokenizer."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        # the tokenizer writes bytes as visible characters: the printable ones as they are, others from 256 on
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.visible = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*own}))}
+        self.cores: dict[str, list[int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.cores.clear()
+        self.marks: dict[str, list[int]] = {"": []}
+        self.words: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.sizes, self.first, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def letters(self, core: str) -> list[int]:
+        ids = self.cores.get(core)
+        if ids is None:
+            seen = core if core.isascii() else core.encode().decode("latin-1").translate(self.visible)
+            ids = self.cores[core] = [t.id for t in self.model.tokenize(seen)]
+        return ids
+
+    def word(self, word: bytes) -> list[int]:
+        w = word.decode()
+        if m := USUAL.fullmatch(w):
+            core, marks = m.groups()
+            if marks not in self.marks:
+                self.marks[marks] = self.tok.encode(marks, add_special_tokens=False).ids
+            return self.letters(core.lower()) + self.marks[marks]
+        return self.tok.encode(w, add_special_tokens=False).ids
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.words) > REMEMBERED:
+            self.clear()
+        lists = [(t or "").encode().split() for t in texts]  # the six ASCII white-space bytes
+        n_words = np.fromiter(map(len, lists), np.int64, len(lists))
+        known = len(self.words)
+        at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), np.int32, int(n_words.sum()))
+        if len(self.words) > known:
+            ids = [self.word(w) for w in list(islice(reversed(self.words), len(self.words) - known))[::-1]]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            ends = np.cumsum(sizes, dtype=np.int64)
+            self.first = np.concatenate([self.first, len(self.flat) + ends - sizes])
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]))])
+            self.sizes = np.concatenate([self.sizes, sizes])
+        n = self.sizes[at]
+        ends = np.cumsum(n, dtype=np.int64)
+        step = np.repeat(self.first[at] - (ends - n), n)
+        step += np.arange(len(step))
+        return self.flat[step], np.diff(np.append(0, ends)[np.append(0, np.cumsum(n_words))])
+
+
+@cache
+def token_ids(path: str) -> TokenIds:
+    """One for each worker process, so that later tasks know the words of earlier ones."""
+    return TokenIds(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -77,17 +118,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = token_ids(tokenizer_path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            flat, counts = encode(texts)
             rows: tuple[list, ...] = ([], [], [], [], [])
-            at = 0
-            for i, n in enumerate(counts.tolist()):
-                own = np.append(flat[at:at + n], np.uint32(end_id)).astype("<u4")
-                at += n
-                for k, s in enumerate(range(0, n + 1, length)):
-                    part = own[s:s + length]
-                    for col, v in zip(rows, (i, k, s, len(part), zlib.crc32(part.tobytes()))):
-                        col.append(v)
+            for first, texts in portions(batch.column(1).to_pylist(), lambda t: t):
+                flat, counts = encode(texts)
+                at = 0
+                for i, n in enumerate(counts.tolist(), first):
+                    own = np.append(flat[at:at + n], np.uint32(end_id)).astype("<u4")
+                    at += n
+                    for k, s in enumerate(range(0, n + 1, length)):
+                        part = own[s:s + length]
+                        for col, v in zip(rows, (i, k, s, len(part), zlib.crc32(part.tobytes()))):
+                            col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()), *[pa.array(c, pa.int64()) for c in rows[2:]]],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -220,7 +261,7 @@ def pack(parts: DataFrame, length: int = LENGTH, group: int = GROUP, nodes: int
     dealt = parts.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id bigint, offset bigint"
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["length"].to_numpy()
         waiting: dict[int, list[int]] = {}
         for i in np.argsort(pdf["ids_crc32"].to_numpy(), kind="stable").tolist():

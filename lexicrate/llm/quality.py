@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicrate.llm import labelled
-from lexicrate.llm.words import Words, bucket, portions, shape
+from lexicrate.llm.words import Words, bucket, portions, shapes
 
 WORDS, SHAPES, PAIRS = 512, 256, 512
 TERMS = WORDS + SHAPES + PAIRS + 1
@@ -34,7 +34,7 @@ BLOCK = 2048
 
 
 def _describe(words: list[bytes]) -> np.ndarray:
-    return np.array([(bucket(w.lower(), WORDS), bucket(shape(w), SHAPES)) for w in words], np.int32).reshape(-1, 2)
+    return np.array([(bucket(w.lower(), WORDS), bucket(s, SHAPES)) for w, s in zip(words, shapes(words))], np.int32).reshape(-1, 2)
 
 
 def _split(text: str | None) -> list[bytes]:
@@ -47,18 +47,19 @@ def term_vectors(texts: list[str | None]) -> np.ndarray:
 
 def _vectors(texts: list[str | None], vocabulary: Words) -> Iterator[np.ndarray]:
     for _, lists in portions(texts, _split):
-        numbers = vocabulary.numbers(lists)
+        numbers, ends = vocabulary.numbers(lists)
+        w, s = vocabulary.rows[numbers].T
+        pair = np.append((s[:-1] * 31 + s[1:]) % PAIRS, 0)[:len(s)]
+        again = np.append(numbers[1:] == numbers[:-1], False)[:len(s)]
         out = np.zeros((len(lists), TERMS), np.float32)
-        for v, n in zip(out, numbers):
-            if not len(n):
+        for v, a, b in zip(out, ends[:-1].tolist(), ends[1:].tolist()):
+            if a == b:
                 continue
-            d = vocabulary.rows[n]
-            s = d[:, 1]
-            v[:WORDS] = np.bincount(d[:, 0], minlength=WORDS)
-            v[WORDS:WORDS + SHAPES] = np.bincount(s, minlength=SHAPES)
-            v[WORDS + SHAPES:-1] = np.bincount((s[:-1] * 31 + s[1:]) % PAIRS, minlength=PAIRS)
-            v[-1] = (n[1:] == n[:-1]).sum()
-            v /= len(n)
+            v[:WORDS] = np.bincount(w[a:b], minlength=WORDS)
+            v[WORDS:WORDS + SHAPES] = np.bincount(s[a:b], minlength=SHAPES)
+            v[WORDS + SHAPES:-1] = np.bincount(pair[a:b - 1], minlength=PAIRS)
+            v[-1] = again[a:b - 1].sum()
+            v /= b - a
         yield np.sqrt(out)
 
 
