@@ -6,6 +6,7 @@ shared folder after every round.  Nodes without links are not in the result.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +37,20 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         edges.select(F.col("lo").alias("node"), F.col("lo").alias("component"))).distinct()
+
+
+def join_labels(n: int, u: np.ndarray, v: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+    """For each of ``n`` positions the smallest one it reaches by links (u, v)
+    and by an earlier result ``label``."""
+    if label is not None:
+        u, v = np.concatenate([u, np.arange(n)]), np.concatenate([v, label])
+    label = np.arange(n)
+    while len(u):
+        before = label.copy()
+        m = np.minimum(label[u], label[v])
+        np.minimum.at(label, u, m)
+        np.minimum.at(label, v, m)
+        label = label[label]
+        if (before == label).all():
+            break
+    return label

@@ -6,8 +6,9 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexicrate.llm import exact, mixing, packing, quality, simhash
+from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash
 
 QUERIES, ORACLES = {}, {}
 
@@ -48,3 +49,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_embedding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op5_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "pages"), read(spark, sf_dir, "documents"))
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, key="lexicrate production key").select("doc_id", "text", "n_replaced", F.array_join("kinds", ",").alias("kinds"))

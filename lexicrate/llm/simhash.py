@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicrate.llm.components import components
+from lexicrate.llm.components import components, join_labels
 from lexicrate.session import store
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -125,26 +125,13 @@ def keys(fps: np.ndarray, tables) -> tuple[np.ndarray, np.ndarray]:
 
 def forest(fps: np.ndarray, max_bits: int) -> np.ndarray:
     """For each fingerprint the smallest position in its component."""
-    label = np.arange(len(fps))
-    u, v = [], []
-    for i in range(0, len(fps), 256):  # blocks of the triangle; only neighbours that differ in label matter
-        near = np.bitwise_count(fps[i:i + 256, None] ^ fps[None, i:]) <= max_bits
-        # the first and the next neighbour of every column and row keep all connections of the block
-        a, b = np.nonzero(near)
+    label, u, v = None, [], []
+    for i in range(0, len(fps), 256):
+        a, b = np.nonzero(np.bitwise_count(fps[i:i + 256, None] ^ fps[None, i:]) <= max_bits)
         u.append(a + i)
         v.append(b + i)
         if sum(map(len, u)) > 1 << 20 or i + 256 >= len(fps):
-            x, y = np.concatenate(u), np.concatenate(v)
-            while True:
-                before = label.copy()
-                m = np.minimum(label[x], label[y])
-                np.minimum.at(label, x, m)
-                np.minimum.at(label, y, m)
-                label = label[label]
-                if (before == label).all():
-                    break
-            # what is joined so far stays joined: an edge to the label stands for it
-            u, v = [np.arange(len(fps))], [label.copy()]
+            label, u, v = join_labels(len(fps), np.concatenate(u), np.concatenate(v), label), [], []
     return label
 
 
