@@ -140,9 +140,9 @@ def calendar(m: Column, key: Column) -> Column:
     width = lambda i: F.when(F.length(parts[i]) == 1, 1).otherwise(2)
     two = lambda x, i: F.when(width(i) == 2, _pad(x, 2)).otherwise(x.cast("string"))
     # with slashes and the year last, the pseudonym is written month first, as it is read
-    text = F.transform(new, lambda t: F.when(year_first, F.concat_ws(mark, F.year(t).cast("string"), two(F.month(t), 1), two(F.day(t), 2)))
-                       .when(m.contains("/"), F.concat_ws(mark, two(F.month(t), 0), two(F.day(t), 1), F.year(t).cast("string")))
-                       .otherwise(F.concat_ws(mark, two(F.day(t), 0), two(F.month(t), 1), F.year(t).cast("string"))))[0]
+    text = F.transform(new, lambda t: F.when(year_first, F.concat(F.year(t).cast("string"), mark, two(F.month(t), 1), mark, two(F.day(t), 2)))
+                       .when(m.contains("/"), F.concat(two(F.month(t), 0), mark, two(F.day(t), 1), mark, F.year(t).cast("string")))
+                       .otherwise(F.concat(two(F.day(t), 0), mark, two(F.month(t), 1), mark, F.year(t).cast("string"))))[0]
     return F.when(day.isNotNull(), text)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash
+from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -65,3 +65,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, key="lexicrate production key").select("doc_id", "text", "n_replaced", F.array_join("kinds", ",").alias("kinds"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
