@@ -112,13 +112,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each epoch of a
     document, and its first words where the budget cuts within it.  A document
-    without words takes no part of a budget and stays once."""
-    m = mix(docs, id_col, text_col, source_col, carry=True, **options)
+    without words takes no part of a budget and stays once.
+
+    With ids that are all different and not null only they and the sizes are
+    sorted, and one join brings the texts back; otherwise the rows travel along."""
+    ids = docs.select(F.col(id_col).alias("id"))
+    odd = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").limit(1).count()
+    m = mix(docs, id_col, text_col, source_col, carry=bool(odd), **options)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
     # one entry per copy: 0 for the whole text, else the words to cut it to
     copies = F.concat(F.array_repeat(F.lit(0).cast("long"), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
-    m = m.select("row", F.explode(copies).alias("cut"))
+    if odd:
+        m = m.select("row", copies.alias("cuts"))
+    else:
+        m = (m.where("taken > 0 OR size = 0").select(F.col("doc_id").alias("_id"), copies.alias("cuts"))
+             .join(docs.select(F.col(id_col).alias("_own"), F.struct(*docs.columns).alias("row")), F.col("_id") == F.col("_own")))
+    m = m.select("row", F.explode("cuts").alias("cut"))
     text = F.col(f"row.{text_col}")
     pieces = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     cut = F.when(F.col("cut") == 0, text).otherwise(F.array_join(F.slice(pieces, F.lit(1), F.col("cut").cast("int")), " "))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash, toxicity
+from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash, suffixes, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -70,3 +70,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
