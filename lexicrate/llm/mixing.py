@@ -33,6 +33,8 @@ MAX_EPOCHS = 3
 #: Rows that one range of a source's keys aims at.
 RANGE_ROWS = 4096
 KEY_BITS = 60
+#: Sources up to which their table of four numbers is broadcast (some 4 MB); beyond, the join is salted.
+BROADCAST_SOURCES, SALTS = 1 << 16, 16
 
 
 def running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
@@ -57,14 +59,13 @@ def targets(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) ->
     src = src.withColumn("w", weight.cast("long")).withColumn("cap", F.col("source_size") * max_epochs)
     src = src.withColumn("reach", F.col("cap") / F.col("w"))
     src = running(src, [F.col("reach"), F.col("rank")], {"cum_cap": F.col("cap"), "cum_w": F.col("w")})
-    tot = src.agg(F.sum("source_size").alias("t"), F.sum("w").alias("all_w"))
-    src = src.crossJoin(F.broadcast(tot))  # one row
-    c0, w0 = F.col("cum_cap") - F.col("cap"), F.col("all_w") - F.col("cum_w") + F.col("w")
+    src = store(src, "sources")
+    t, all_w = (F.lit(x or 0).cast("long") for x in src.agg(F.sum("source_size"), F.sum("w")).first())
+    c0, w0 = F.col("cum_cap") - F.col("cap"), all_w - F.col("cum_w") + F.col("w")
     # its share among those that reach their cap no earlier lies above its cap
-    src = src.withColumn("stops", (F.col("t") - c0) * F.col("w") > F.col("cap") * w0)
-    level = src.where("stops").agg(F.coalesce(F.sum("cap"), F.lit(0)).alias("used"), F.coalesce(F.sum("w"), F.lit(0)).alias("used_w"))
-    src = src.crossJoin(F.broadcast(level))  # one row
-    share = (F.col("t") - F.col("used")).cast("double") * F.col("w") / (F.col("all_w") - F.col("used_w"))
+    src = src.withColumn("stops", (t - c0) * F.col("w") > F.col("cap") * w0)
+    used, used_w = (F.lit(x or 0).cast("long") for x in src.where("stops").agg(F.sum("cap"), F.sum("w")).first())
+    share = (t - used).cast("double") * F.col("w") / (all_w - used_w)
     return src.select("source", "source_size", "n_rows",
                       F.round(F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(share), 6).alias("target"))
 
@@ -90,8 +91,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     # ranges of the key: as many for a source as its rows ask for, all of one width
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n_rows") / RANGE_ROWS))).cast("int")
-    ranged = (sized.join(src.select(F.col("source").alias("s"), "source_size", "target", bits.alias("bits")),
-                         F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    share = src.select(F.col("source").alias("s"), "source_size", "target", bits.alias("bits"))
+    same = F.col("source").eqNullSafe(F.col("s"))
+    if src.count() <= BROADCAST_SOURCES:
+        share = F.broadcast(share)
+    else:  # too many to broadcast: a hot source's rows meet SALTS copies of its row
+        share = share.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        sized = sized.withColumn("salt", F.pmod(F.col("key"), F.lit(SALTS)).cast("int"))
+        same = same & (sized["salt"] == share["salt"])
+    ranged = (sized.join(share, same).drop("s", "salt")
               .withColumn("range", F.floor(F.col("key") / F.pow(F.lit(2.0), F.lit(KEY_BITS) - F.col("bits"))).cast("long")))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
