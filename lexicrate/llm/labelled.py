@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bound of the labelled sample, for each class.
@@ -21,8 +21,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id
     their ids, from labelled rows that are not held out.  The bound keeps the
     model's fit independent of the corpus size."""
     rows = labels.where(F.col(label).isin(0, 1) & ~held_out(id_col)).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
-    first = Window.partitionBy("y").orderBy(F.xxhash64("_id"), "_id")
-    chosen = rows.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= per_class)
+    # a sorted limit keeps per_class rows of each task before anything moves
+    first, second = (rows.where(F.col("y") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for k in (0, 1))
+    chosen = first.union(second)
     return (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "_id").select("text", "y", F.xxhash64("_id").alias("key")))  # at most 2 x per_class rows
 

@@ -60,11 +60,14 @@ def page_text(html: str | None) -> bytes:
 
 def fit_text(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages and the log probabilities of their trigrams, from up to
-    PER_LANGUAGE documents of a language in hash order of their ids."""
+    PER_LANGUAGE documents of a language in hash order of their ids (rows with
+    one id are drawn together)."""
     named = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("_id"))
     known = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = named.join(F.broadcast(known.select("lang")), "lang").withColumn("k", F.row_number().over(first)).where(F.col("k") <= PER_LANGUAGE)
+    # thinned to some four times the bound before the rows of a language meet
+    thin = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < float(1 << 30) * (4 * PER_LANGUAGE) / F.col("count")
+    chosen = named.join(F.broadcast(known), "lang").where(thin).withColumn("k", F.row_number().over(first)).where(F.col("k") <= PER_LANGUAGE)
     chosen = chosen.select("_id").distinct()  # at most LANGUAGES x PER_LANGUAGE ids
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
 

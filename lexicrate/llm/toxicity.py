@@ -34,9 +34,11 @@ from lexicrate.llm.words import Words, bucket, portions
 
 WINDOW, STRIDE = 32, 24
 WORD_BUCKETS, GRAM_BUCKETS, DIM, HIDDEN = 4096, 4096, 8, 8
-PER_CLASS, TRAIN_WINDOWS, BATCH, RATE = 1500, 64, 256, 0.01
-#: Epochs of each round.
-ROUNDS = (3, 2, 1, 1)
+PER_CLASS, TRAIN_WINDOWS, BATCH, RATE = 1500, 64, 128, 0.01
+#: Share of words whose own vector is left out of a step, and shrinkage of the learned vectors at each step.
+DROPPED, DECAY = 0.5, 0.003
+#: Steps of each round: a fixed effort, however few labelled rows there are.
+ROUNDS = (120, 80, 60, 60)
 THRESHOLD, BLOCK = 0.7, 4096
 GRAMS = 6
 #: ASCII signs count as spaces.
@@ -135,6 +137,9 @@ class Network:
         """One Adam step on windows ``index`` into the words ``rows``."""
         p, keep = self.p, []
         x = self.inputs(rows)
+        # half of the words enter by their grams alone, so that unseen forms of a word are learned too
+        whole = (np.random.default_rng(self.t).random((len(rows), 1)) >= DROPPED).astype(x.dtype)
+        x[:, :DIM] *= whole
         gates = np.concatenate([x @ p["W"][d] + p["b"][d] for d in (0, 1)], 1)
         states = self.read(gates, index, mask, keep)
         prob, c, a = self.pool(states, mask)
@@ -164,7 +169,7 @@ class Network:
             own = dgates[:, d * 3 * HIDDEN:(d + 1) * 3 * HIDDEN]
             g["W"][d], g["b"][d] = x.T @ own, own.sum(0)
             dx += own @ p["W"][d].T
-        np.add.at(g["word"], rows[:, 0], dx[:, :DIM])
+        np.add.at(g["word"], rows[:, 0], dx[:, :DIM] * whole)
         np.add.at(g["gram"], rows[:, 1:], dx[:, None, DIM:] / GRAMS)
         self.t += 1
         for k, v in p.items():
@@ -172,6 +177,8 @@ class Network:
             m += 0.1 * (g[k] - m)
             s += 0.001 * (g[k] ** 2 - s)
             v -= RATE * (m / (1 - 0.9 ** self.t)) / (np.sqrt(s / (1 - 0.999 ** self.t)) + 1e-7)
+        for k in ("word", "gram"):
+            p[k] *= 1 - DECAY
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
@@ -213,7 +220,7 @@ def train(texts: list[tuple[int, list[list[bytes]]]], rounds: tuple[int, ...] =
     score = np.full(len(first), -9.0)
     np.maximum.at(score, word_at, odds[numbers])
 
-    for epochs in rounds:
+    for steps in rounds:
         order = np.lexsort((-score, owner))
         rank = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
         top, other = order[rank == 0], order[rank > 0]
@@ -222,14 +229,13 @@ def train(texts: list[tuple[int, list[list[bytes]]]], rounds: tuple[int, ...] =
         chosen = np.concatenate([top, chance[y[owner[chance]] == 0]])
         second = order[rank == 1]
         chosen = np.concatenate([chosen, second[y[owner[second]] == 0]])
-        weights = np.concatenate([chosen, *[top[y[owner[top]] == 1]] * 1])  # toxic windows twice, as there are fewer
-        for _ in range(epochs):
-            g.shuffle(weights)
-            for i in range(0, len(weights), BATCH):
-                w = weights[i:i + BATCH]
-                mask = np.arange(WINDOW) < size[w][:, None]
-                index = numbers[np.minimum(first[w][:, None] + np.arange(WINDOW), len(numbers) - 1)] if len(numbers) else np.zeros((len(w), WINDOW), int)
-                used, small = np.unique(index, return_inverse=True)
+        for _ in range(steps):
+            # half of a batch from each class
+            w = np.concatenate([g.choice(c, BATCH // 2) for k in (0, 1) if len(c := chosen[y[owner[chosen]] == k])])
+            mask = np.arange(WINDOW) < size[w][:, None]
+            index = numbers[np.minimum(first[w][:, None] + np.arange(WINDOW), len(numbers) - 1)] if len(numbers) else np.zeros((len(w), WINDOW), int)
+            used, small = np.unique(index, return_inverse=True)
+            if len(rows):
                 net.learn(rows[used], small.reshape(index.shape), mask, y[owner[w]])
         score = net.score(net.gates(rows), numbers, first, size)
     return net
