@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ LENGTH, END_ID = 4096, 1
 #: Pieces a group aims at; branch-and-bound nodes for a group; fillings kept at a node.
 GROUP, NODES, FILLINGS = 8192, 4000, 8
 #: Words a task remembers with their ids; only speed depends on it.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 
 
 #: The usual word: Latin-1 letters, which are their own normal form, then ASCII marks but ' and <, which can begin a token of their own.
@@ -58,30 +59,30 @@ class TokenIds:
         # the tokenizer writes bytes as visible characters: the printable ones as they are, others from 256 on
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.visible = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*own}))}
-        self.cores: dict[str, list[int]] = {}
+        self.cores: dict[str, bytes] = {}  # ids as four bytes each, far smaller than lists
         self.clear()
 
     def clear(self) -> None:
         self.cores.clear()
-        self.marks: dict[str, list[int]] = {"": []}
+        self.marks: dict[str, bytes] = {"": b""}
         self.words: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.sizes, self.first, self.flat = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def letters(self, core: str) -> list[int]:
+    def letters(self, core: str) -> bytes:
         ids = self.cores.get(core)
         if ids is None:
             seen = core if core.isascii() else core.encode().decode("latin-1").translate(self.visible)
-            ids = self.cores[core] = [t.id for t in self.model.tokenize(seen)]
+            ids = self.cores[core] = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
         return ids
 
-    def word(self, word: bytes) -> list[int]:
+    def word(self, word: bytes) -> bytes:
         w = word.decode()
         if m := USUAL.fullmatch(w):
             core, marks = m.groups()
             if marks not in self.marks:
-                self.marks[marks] = self.tok.encode(marks, add_special_tokens=False).ids
+                self.marks[marks] = array("I", self.tok.encode(marks, add_special_tokens=False).ids).tobytes()
             return self.letters(core.lower()) + self.marks[marks]
-        return self.tok.encode(w, add_special_tokens=False).ids
+        return array("I", self.tok.encode(w, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > REMEMBERED:
@@ -92,10 +93,10 @@ class TokenIds:
         at = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), np.int32, int(n_words.sum()))
         if len(self.words) > known:
             ids = [self.word(w) for w in list(islice(reversed(self.words), len(self.words) - known))[::-1]]
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
             ends = np.cumsum(sizes, dtype=np.int64)
             self.first = np.concatenate([self.first, len(self.flat) + ends - sizes])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(ends[-1]))])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.uint32)])
             self.sizes = np.concatenate([self.sizes, sizes])
         n = self.sizes[at]
         ends = np.cumsum(n, dtype=np.int64)
