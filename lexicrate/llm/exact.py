@@ -2,8 +2,8 @@
 
 Texts are equal when they are identical after every run of ASCII white space
 becomes one space.  The normalised bytes are range-partitioned by splitters
-that Spark samples, each range is sorted externally, equal texts become
-neighbours, and the window compares whole neighbouring texts.  A text carried
+that Spark samples (beginnings of texts with a hash, so that splitters stay
+small), each range is sorted externally, equal texts become neighbours, and the window compares whole neighbouring texts.  A text carried
 by many rows is salted into a fixed number of runs, so that it is spread over
 several ranges; the heads of its runs are combined afterwards.
 
@@ -24,6 +24,8 @@ from lexicrate.session import store
 SPACE = r"[\x20\x09-\x0D]+"
 #: At most HOT texts can hold more than a HOT-th of the rows each; they get SALTS runs.
 HOT, SALTS, HOT_ROWS = 1024, 32, 64
+#: Characters of a text that splitters see.
+PREFIX = 16
 
 
 def normalised(text: Column | str) -> Column:
@@ -43,8 +45,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.join(F.broadcast(hot), "h", "left")  # at most HOT rows: each holds over a HOT-th of all
     d = d.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).otherwise(0))
 
-    run = Window.partitionBy("norm", "salt")
-    runs = (d.repartitionByRange("norm", "salt")
+    # the order is by the first PREFIX characters, a hash of the text, then the text in full; the splitters
+    # that the driver draws are prefixes and hashes, never texts, and texts with one beginning spread by hash
+    d = d.withColumn("prefix", F.substring("norm", 1, PREFIX))
+    run = Window.partitionBy("prefix", "h", "norm", "salt")
+    runs = (d.repartitionByRange("prefix", "h", "salt")
             .withColumn("rn", F.row_number().over(run.orderBy(F.col("doc_id").asc_nulls_last())))
             .withColumn("head", F.min("doc_id").over(run)).withColumn("size", F.count(F.lit(1)).over(run)))
     runs = store(runs.select("doc_id", "rn", "head", "size", "hot", F.sha2("norm", 256).alias("text_sha256"),
