@@ -9,6 +9,7 @@ same way: no look-around, Unicode classes spelled as ``\\p{..}``.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,6 +118,32 @@ def fuzzy_ratio(a: Column | str, b: Column | str) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * lcs_length(a, b) / total)
 
 
+def _lcs_bits(a: str, b: str) -> int:
+    """Length of the longest common subsequence: one big integer holds a whole
+    row of the table, so memory is linear in the shorter name."""
+    if len(a) > len(b):
+        a, b = b, a
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        u = row & at.get(c, 0)
+        row = ((row + u) | (row - u)) & full
+    return len(a) - row.bit_count()
+
+
+def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else 100.0 if not x and not y
+                      else 200.0 * _lcs_bits(x, y) / (len(x) + len(y)) for x, y in zip(a, b)], dtype="float64")
+
+
+def long_fuzzy_ratio(a: Column | str, b: Column | str) -> Column:
+    """``fuzzy_ratio`` for names of any length, in Arrow batches."""
+    return F.pandas_udf(_ratio, "double")(_c(a), _c(b))
+
+
 def char_ngrams(col: Column | str, n_min: int = 2, n_max: int = 4) -> Column:
     """Distinct character n-grams (n_min..n_max) of the lower-cased value
     padded with one space each side."""

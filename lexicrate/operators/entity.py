@@ -12,14 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicrate.functions.text import fuzzy_ratio, name_key
+from lexicrate.functions.text import long_fuzzy_ratio, name_key
 from lexicrate.operators.tokens import map_values
 
 # The reference's fuzzy threshold as used by the encoding step.
 FUZZY_THRESHOLD = 77
-# Longest name compared by the quadratic LCS expression; a pair with a longer
-# name gets a NULL ratio (no match) instead of an unbounded computation.
-MAX_NAME_LENGTH = 200
 
 
 def name_variants(df: DataFrame, col: str) -> DataFrame:
@@ -46,14 +43,12 @@ def explode_names(df: DataFrame, *, id_col: str, names_col: str, source: str,
 def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
     """Distinct (name_i, name_j) pairs over similar-row pairs with their ratio.
 
-    The LCS expression is quadratic in name length, so it runs once per
-    distinct name pair, not per row pair."""
+    The ratio runs once per distinct name pair, not per row pair."""
     ni = names.select(F.col(id_col).alias("id_i"), F.col(name_col).cast("string").alias("name_i"))
     nj = names.select(F.col(id_col).alias("id_j"), F.col(name_col).cast("string").alias("name_j"))
     distinct_pairs = (pairs.select("id_i", "id_j").join(ni, "id_i").join(nj, "id_j")
                       .select("name_i", "name_j").distinct())
-    ok = (F.length("name_i") <= MAX_NAME_LENGTH) & (F.length("name_j") <= MAX_NAME_LENGTH)
-    return distinct_pairs.withColumn("ratio", F.when(ok, fuzzy_ratio("name_i", "name_j")))
+    return distinct_pairs.withColumn("ratio", long_fuzzy_ratio("name_i", "name_j"))
 
 
 def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str, *,

@@ -123,14 +123,6 @@ def label_encode(df: DataFrame, col: str, *, out: str = "label_idx"):
     return model.transform(df).withColumn(out, F.col(out).cast("long")), model
 
 
-def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """Relational label code table (label, code): ranks the *distinct* labels
-    only, which is a small dimension."""
-    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return labels.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("long").alias("code"))
-
-
-# ------------------------------------------------------------ hold-out ----
 def stratified_split(df: DataFrame, id_col: str, label_col: str, *, test_fraction: float = 0.1,
                      seed: str = "42") -> DataFrame:
     """Exact, repeatable stratified split (FE9).

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from lexicrate.functions.text import explode_tokens, word_tokens
 
-# A lexicon or vocabulary given as a Python mapping/list up to this size is
-# compiled into the expression (no join, no shuffle); larger ones are joined.
-INLINE_LIMIT = 5000
 
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -41,15 +38,13 @@ def lexicon_normalise(df: DataFrame, tokens_col: str, lexicon, *, out: str = "to
                       id_col: str | None = None) -> DataFrame:
     """Replace each token by its lexicon entry (possibly several words).
 
-    ``lexicon`` is a dict (compiled into a map literal when small) or a
-    DataFrame ``(token, replacement)`` joined on the token."""
-    if isinstance(lexicon, dict) and len(lexicon) <= INLINE_LIMIT:
+    ``lexicon`` is a dict (compiled into a map literal) or a DataFrame
+    ``(token, replacement)`` joined on the token.  NULL tokens stay NULL in both."""
+    if isinstance(lexicon, dict):
         m = F.create_map(*[F.lit(x) for kv in sorted(lexicon.items()) for x in kv])
         repl = F.transform(F.col(tokens_col),
                            lambda t: F.split(F.coalesce(F.try_element_at(m, t), t), " "))
         return df.withColumn(out, F.flatten(repl))
-    if isinstance(lexicon, dict):
-        lexicon = df.sparkSession.createDataFrame(sorted(lexicon.items()), "token string, replacement string")
     if id_col is None:
         raise ValueError("a lexicon table needs id_col to rebuild rows")
     ex = df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
@@ -57,7 +52,7 @@ def lexicon_normalise(df: DataFrame, tokens_col: str, lexicon, *, out: str = "to
           .select(id_col, "pos", F.posexplode(F.split(F.coalesce("replacement", "token"), " "))
                   .alias("sub", "word")))
     rebuilt = _regroup(ex, id_col, "word", df, ("pos", "sub")).withColumnRenamed("tokens", out)
-    return df.join(rebuilt, id_col, "left")
+    return df.join(rebuilt, id_col, "left").withColumn(out, F.when(F.col(tokens_col).isNotNull(), F.col(out)))
 
 
 def remove_stopwords(tokens, stopwords: list[str]):

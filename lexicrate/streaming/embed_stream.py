@@ -36,13 +36,9 @@ def start_embedding_stream(spark: SparkSession, source_dir: str, schema: StructT
 
 
 def run_to_completion(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
-                      checkpoint_dir: str, *, id_col: str, text_col: str, files_per_batch: int = 1,
-                      timeout_s: int = 600) -> None:
+                      checkpoint_dir: str, *, id_col: str, text_col: str, files_per_batch: int = 1) -> None:
     q = start_embedding_stream(spark, source_dir, schema, out_dir, checkpoint_dir,
                                id_col=id_col, text_col=text_col, files_per_batch=files_per_batch)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("embedding stream did not finish")
+    q.awaitTermination()  # an available-now query ends by itself
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
