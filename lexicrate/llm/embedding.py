@@ -97,9 +97,15 @@ def dual_walk(a: CoverTree, b: CoverTree, cosine: float) -> tuple[np.ndarray, np
         near = d <= t + ra[:, None] + rb[None, :] + SLACK
         whole = d + ra[:, None] + rb[None, :] <= t - SLACK
         leaf = (ra[:, None] + rb[None, :] <= 1e-12) & near
-        for i, j in zip(*np.nonzero(near & ~leaf & ~whole)):
-            split_a = ra[i] >= rb[j] and a.children[p[i]]
-            todo.append((a.children[p[i]], [q[j]]) if split_a else ([p[i]], b.children[q[j]] or [q[j]]) if b.children[q[j]] else (a.children[p[i]], [q[j]]))
+        # the nodes that open the same node go on together
+        open_ = near & ~leaf & ~whole
+        has_a, has_b = (np.array([bool(t.children[i]) for i in x]) for t, x in ((a, p), (b, q)))
+        first = open_ & ((has_a[:, None] & (ra[:, None] >= rb[None, :])) | ~has_b[None, :])
+        for i in np.flatnonzero(first.any(1)).tolist():
+            todo.append((a.children[p[i]], [q[j] for j in np.flatnonzero(first[i]).tolist()]))
+        second = open_ & ~first
+        for j in np.flatnonzero(second.any(0)).tolist():
+            todo.append(([p[i] for i in np.flatnonzero(second[:, j]).tolist()], b.children[q[j]]))
         done = whole | (leaf & (cos >= cosine))
         for i, j in zip(*np.nonzero(done)):
             x, y = a.points[p[i]], b.points[q[j]]
