@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, Normalizer,
                                 OneHotEncoder, StringIndexer)
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexicrate.functions.text import char_ngrams, explode_tokens, jaccard
@@ -57,13 +57,6 @@ def tfidf_vectors(df: DataFrame, tokens_col: str, *, out: str = "features",
     return normed.drop("_tf", "_raw"), cv
 
 
-def add_vectors(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """Element-wise sum of two vector columns of the same size."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    return df.withColumn(out, array_to_vector(F.zip_with(vector_to_array(a), vector_to_array(b),
-                                                         lambda x, y: x + y)))
-
-
 def top_vocabulary(df: DataFrame, tokens_col: str, k: int) -> DataFrame:
     """The k terms with the highest corpus count, ties by term (FE2)."""
     return (explode_tokens(df, F.col(tokens_col), keep=[], alias="term")
@@ -123,38 +116,43 @@ def label_encode(df: DataFrame, col: str, *, out: str = "label_idx"):
     return model.transform(df).withColumn(out, F.col(out).cast("long")), model
 
 
+def _label_key(col: str) -> Column:
+    """A map key for a label of any type; NULL is a label of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("null"))
+
+
+def _entry_map(df: DataFrame, key: str, *values: str) -> Column:
+    """A small table (one row per label) as one map column: key -> struct(values)."""
+    return df.select(F.map_from_entries(F.collect_list(F.struct(key, F.struct(*values))))).scalar()
+
+
 def stratified_split(df: DataFrame, id_col: str, label_col: str, *, test_fraction: float = 0.1,
                      seed: str = "42") -> DataFrame:
     """Exact, repeatable stratified split (FE9).
 
-    Within each label, rows are ordered by ``md5(id || seed)``; the first
-    ``round(test_fraction * n_label)`` rows are the test set.  Instead of a
-    window over a whole label (a label can hold a third of the rows), rows are
-    counted per (label, hash bucket) with partial aggregation, a running sum
-    over the bounded bucket grid finds the bucket where the cut falls, and only
-    the rows of that one bucket are ranked.  Adds column ``split``."""
+    Within each label, rows are ordered by ``md5(id || seed)``, then id; the first
+    ``round(test_fraction * n_label)`` rows are the test set.  No window runs over a
+    whole label (a label can hold a third of the rows): rows are counted per (label,
+    hash bucket) with partial aggregation, a running sum over the bounded bucket grid
+    finds the bucket where the cut falls, and only that bucket's rows are ranked, which
+    gives the last test row (hash, id) of each label.  Rows are then flagged in place
+    against that cut, one row per label, so no other column of ``df`` is ever moved.
+    Adds column ``split``."""
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(seed)))
     # bucket = first 16 bits of the hash; bucket order agrees with hash order
-    keyed = df.withColumn("_h", h).withColumn(
-        "_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("long"))
-    per_bucket = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    wcum = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    totals = per_bucket.groupBy(label_col).agg(F.sum("_nb").alias("_n"))
-    cum = (per_bucket.join(totals, label_col)
-           .withColumn("_cum", F.sum("_nb").over(wcum))
-           .withColumn("_k", F.round(F.col("_n") * test_fraction).cast("long"))
-           .withColumn("_before", F.col("_cum") - F.col("_nb")))
-    # buckets entirely inside the cut, and the single bucket that straddles it
-    cut = cum.select(label_col, "_b", "_k", "_before",
-                     F.when(F.col("_cum") <= F.col("_k"), F.lit("in"))
-                     .when(F.col("_before") < F.col("_k"), F.lit("edge")).otherwise(F.lit("out"))
-                     .alias("_state"))
-    j = keyed.join(cut, [label_col, "_b"])
-    edge = j.where(F.col("_state") == "edge")
-    wr = Window.partitionBy(label_col, "_b").orderBy("_h", id_col)
-    edge_in = (edge.withColumn("_r", F.row_number().over(wr))
-               .where(F.col("_before") + F.col("_r") <= F.col("_k")).select(id_col))
-    test_ids = j.where(F.col("_state") == "in").select(id_col).unionByName(edge_in)
-    flagged = df.join(test_ids.withColumn("_test", F.lit(True)), id_col, "left")
-    return flagged.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))) \
-                  .drop("_test")
+    keyed = (df.select(F.col(id_col).alias("_id"), _label_key(label_col).alias("_l"), h.alias("_h"))
+             .withColumn("_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("long")))
+    per_label = Window.partitionBy("_l")
+    running = per_label.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    k = F.round(F.col("_n") * test_fraction).cast("long")
+    edges = (keyed.groupBy("_l", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+             .select("_l", "_b", "_nb", F.sum("_nb").over(per_label).alias("_n"), F.sum("_nb").over(running).alias("_cum"))
+             .withColumn("_need", k - F.col("_cum") + F.col("_nb"))
+             .where((F.col("_need") > 0) & (F.col("_need") <= F.col("_nb"))))
+    edge = F.try_element_at(_entry_map(edges, "_l", "_b", "_need"), F.col("_l"))
+    last = (keyed.withColumn("_e", edge).where(F.col("_b") == F.col("_e._b"))
+            .withColumn("_r", F.row_number().over(per_label.orderBy("_h", "_id")))
+            .where(F.col("_r") == F.col("_e._need")))
+    cut = F.try_element_at(_entry_map(last, "_l", "_h", "_id"), _label_key(label_col))
+    in_test = (h < cut["_h"]) | ((h == cut["_h"]) & (F.col(id_col) <= cut["_id"]))
+    return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))

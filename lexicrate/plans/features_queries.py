@@ -70,10 +70,9 @@ FROM documents
 """)
 def one_hot(spark, sf):
     d, _ = FE.one_hot(_docs(spark, sf).select("doc_id", "source"), "source", out="oh")
-    arr = vector_to_array("oh")
+    vec = F.from_json(F.to_json(F.struct("oh")), "oh struct<size: long, indices: array<long>>")["oh"]
     return d.select("doc_id", "source", F.col("source_idx").cast("long").alias("source_idx"),
-                    F.size(arr).cast("long").alias("onehot_size"),
-                    (F.array_position(arr, 1.0) - 1).cast("long").alias("onehot_pos"))
+                    vec["size"].alias("onehot_size"), vec["indices"][0].alias("onehot_pos"))
 
 
 def _grams_sql(x: str) -> str:
