@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicrate.functions.text import long_fuzzy_ratio, name_key
+from lexicrate.operators.dedup import group_links, text_groups
 from lexicrate.operators.tokens import map_values
+from lexicrate.session import materialize
 
 # The reference's fuzzy threshold as used by the encoding step.
 FUZZY_THRESHOLD = 77
@@ -40,31 +42,42 @@ def explode_names(df: DataFrame, *, id_col: str, names_col: str, source: str,
             .where(F.col("name") != ""))
 
 
-def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """Distinct (name_i, name_j) pairs over similar-row pairs with their ratio.
-
-    The ratio runs once per distinct name pair, not per row pair."""
-    ni = names.select(F.col(id_col).alias("id_i"), F.col(name_col).cast("string").alias("name_i"))
-    nj = names.select(F.col(id_col).alias("id_j"), F.col(name_col).cast("string").alias("name_j"))
-    distinct_pairs = (pairs.select("id_i", "id_j").join(ni, "id_i").join(nj, "id_j")
-                      .select("name_i", "name_j").distinct())
-    return distinct_pairs.withColumn("ratio", long_fuzzy_ratio("name_i", "name_j"))
-
-
-def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str, *,
+def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str,
+                     text_col: str | None = None) -> DataFrame:
+    """Ratio of each ordered pair of different names that similar rows carry.
+
+    ``names`` has one row per row and name.  Names of all copies of a text are
+    compared, also with each other; without ``text_col`` each id is a text of its own.
+    The earlier (first id, name) is name_i.  Columns: name_i, name_j, ratio, last (the
+    place of the latest such pair).  Name sets are reduced to distinct names per text
+    first, and the ratio runs once per distinct pair of names."""
+    if text_col is None:
+        groups = (names.select(F.col(id_col).alias("rep"), F.lit(name_col).alias("column"),
+                               F.col(name_col).cast("string").alias("value"), F.col(id_col).alias("first_id")).distinct())
+    else:
+        groups = text_groups(names, id_col, text_col, [name_col])
+    groups = materialize(groups.where(F.col("value").isNotNull()))
+
+    def side(tag):
+        return groups.select(F.col("rep").alias(f"id_{tag}"), F.struct("first_id", "value").alias(tag))
+    links = group_links(pairs.withColumns({c: F.lit(1.0) for c in ("cosine", "jaccard")}), groups).select("id_i", "id_j")
+    met = (links.join(side("i"), "id_i").join(side("j"), "id_j")
+           .where((F.col("i.value") != F.col("j.value")) & ((F.col("id_i") < F.col("id_j")) | (F.col("i") < F.col("j")))))
+    ordered = met.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+    return (ordered.groupBy(F.col("i.value").alias("name_i"), F.col("j.value").alias("name_j"))
+            .agg(F.max(F.struct("i", "j")).alias("last"))
+            .select("name_i", "name_j", long_fuzzy_ratio("name_i", "name_j").alias("ratio"), "last"))
+
+
+def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str, text_col: str | None = None, *,
                    threshold: float = FUZZY_THRESHOLD) -> DataFrame:
     """name_j -> name_i for pairs with ratio >= threshold.
 
-    Later pairs (by (id_i, id_j)) win for the same name_j; self maps are
-    dropped; no transitive closure.  Columns: key, value."""
-    ni = names.select(F.col(id_col).alias("id_i"), F.col(name_col).cast("string").alias("name_i"))
-    nj = names.select(F.col(id_col).alias("id_j"), F.col(name_col).cast("string").alias("name_j"))
-    scored = fuzzy_name_pairs(pairs, names, id_col, name_col)
-    rows = (pairs.select("id_i", "id_j").join(ni, "id_i").join(nj, "id_j")
-            .join(scored, ["name_i", "name_j"])
-            .where((F.col("ratio") >= threshold) & (F.col("name_i") != F.col("name_j"))))
-    return (rows.groupBy(F.col("name_j").alias("key"))
-            .agg(F.max_by("name_i", F.struct("id_i", "id_j")).alias("value")))
+    The latest pair wins for the same name_j; self maps are dropped; no transitive
+    closure.  Columns: key, value."""
+    scored = fuzzy_name_pairs(pairs, names, id_col, name_col, text_col).where(F.col("ratio") >= threshold)
+    return (scored.groupBy(F.col("name_j").alias("key"))
+            .agg(F.max_by("name_i", "last").alias("value")))
 
 
 def frequency_encode(names: DataFrame, name_col: str, text_col: str) -> DataFrame:
