@@ -61,25 +61,40 @@ def hash_encode(spark, sf):
                     F.round("value", 6).alias("value")))
 
 
-@query("weighted_mean_embedding", oracle=f"""
-WITH {_CHUNKS_SQL}, {_HASH_SQL},
+_POOLED_SQL = f"""
+{_CHUNKS_SQL}, {_HASH_SQL},
 tot AS (SELECT doc_id, sum(n_chars) AS total FROM ch2 GROUP BY doc_id),
 ws AS (SELECT e.doc_id, e.dim, sum(e.value * c.n_chars) AS s
        FROM enc e JOIN ch2 c ON c.doc_id = e.doc_id AND c.chunk_no = e.chunk_no GROUP BY ALL)
-SELECT ws.doc_id, ws.dim, round(ws.s / tot.total, 6) AS value
-FROM ws JOIN tot ON tot.doc_id = ws.doc_id WHERE round(ws.s / tot.total, 9) <> 0
-""")
-def weighted_mean_embedding(spark, sf):
-    pooled = EM.weighted_mean_embedding(_encoded(spark, sf), "doc_id")
-    return (pooled.select("doc_id", F.posexplode_outer("embedding").alias("dim", "value"))
-            .where(F.round("value", 9) != 0)
-            .select("doc_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value")))
+"""
+
+#: Long form of the pooled vectors: components that are not zero, and one row with NULLs for a text without characters.
+_POOLED_ROWS = """
+SELECT ws.doc_id, ws.dim, round((ws.s / tot.total)::{type}::DOUBLE, 5) AS value
+FROM ws JOIN tot ON tot.doc_id = ws.doc_id WHERE abs(ws.s / tot.total) > 1e-6
+UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE coalesce(text, '') = ''
+"""
+
+MEAN_ORACLE = f"WITH {_POOLED_SQL} {_POOLED_ROWS.format(type='DOUBLE')}"
+#: Document embeddings are single precision (array<float>).
+POOLED_ORACLE = f"WITH {_POOLED_SQL} {_POOLED_ROWS.format(type='FLOAT')}"
+
 
+def long_form(df, digits=5):
+    """(doc_id, dim, value) of an ``embedding`` column."""
+    return (df.select("doc_id", F.posexplode_outer("embedding").alias("dim", "value"))
+            .where(F.col("value").isNull() | (F.abs("value") > 1e-6))
+            .select("doc_id", F.col("dim").cast("long").alias("dim"),
+                    F.round(F.col("value").cast("double"), digits).alias("value")))
 
-def embedded_documents(spark, sf):
-    return EM.embed_documents(table(spark, sf, "documents"), "doc_id", "text")
+
+@query("weighted_mean_embedding", oracle=MEAN_ORACLE)
+def weighted_mean_embedding(spark, sf):
+    chunks = EM.chunk_text(table(spark, sf, "documents"), "doc_id", "text", keep_empty=True)
+    encoded = chunks.withColumn("embedding", F.when(F.col("chunk").isNotNull(), EM.hash_vector(F.col("chunk"))))
+    return long_form(EM.weighted_mean_embedding(encoded, "doc_id"))
 
 
-@query("embed_documents")
+@query("embed_documents", oracle=POOLED_ORACLE)
 def embed_documents(spark, sf):
-    return embedded_documents(spark, sf)
+    return long_form(EM.embed_documents(table(spark, sf, "documents"), "doc_id", "text"))

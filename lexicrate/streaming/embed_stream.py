@@ -20,11 +20,14 @@ from lexicrate.operators.embed import embed_documents
 
 def start_embedding_stream(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
                            checkpoint_dir: str, *, id_col: str, text_col: str,
-                           files_per_batch: int = 1):
+                           files_per_batch: int | None = None):
     """Start the stream with ``trigger(availableNow=True)``: process what is
-    there now, in batches, then stop.  Returns the StreamingQuery."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(source_dir))
+    there now, in batches of ``files_per_batch`` files (unset: Spark's choice), then
+    stop.  Returns the StreamingQuery."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         emb = embed_documents(batch, id_col, text_col)
@@ -36,7 +39,7 @@ def start_embedding_stream(spark: SparkSession, source_dir: str, schema: StructT
 
 
 def run_to_completion(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str,
-                      checkpoint_dir: str, *, id_col: str, text_col: str, files_per_batch: int = 1) -> None:
+                      checkpoint_dir: str, *, id_col: str, text_col: str, files_per_batch: int | None = None) -> None:
     q = start_embedding_stream(spark, source_dir, schema, out_dir, checkpoint_dir,
                                id_col=id_col, text_col=text_col, files_per_batch=files_per_batch)
     q.awaitTermination()  # an available-now query ends by itself

@@ -51,3 +51,22 @@ def test_tsv_row_ids_are_contiguous_in_file_order(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted((r.row_id, r.title) for r in rows) == [(i, f"t{i}") for i in range(3000)]
+
+
+def test_tsv_keys_over_several_files_and_splits(spark):
+    d = tempfile.mkdtemp(prefix="lexi-tsv3-")
+    sizes = {"a.txt": 50, "b.txt": 3000, "c.txt": 700}
+    want = []
+    for name in ("c.txt", "a.txt", "b.txt"):
+        with open(os.path.join(d, name), "w", encoding="utf-8") as fh:
+            fh.writelines(f"{name}{i}\tUS\tdrama\tA\tplot {i}\n" for i in range(sizes[name]))
+    for name in sorted(sizes):
+        want += [f"{name}{i}" for i in range(sizes[name])]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = IO.read_corpus_tsv(spark, d, ["title", "from", "genre", "director", "description"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r.title for r in sorted(rows, key=lambda r: r.row_id)] == want
+    assert sorted(r.row_id for r in rows) == list(range(len(want))) and len({r.row_key for r in rows}) == len(want)
