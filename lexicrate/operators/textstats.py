@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexicrate.functions.text import WORD_OR_PUNCT, raw_word_tokens, sentences
+from lexicrate.session import materialize
 
 STAT_COLUMNS = ["num_tokens_per_doc", "num_sentences_per_doc", "avg_sentence_length_per_doc",
                 "avg_doc_length", "num_chars_per_doc", "sentence_length_variance"]
@@ -89,55 +90,65 @@ def histogram(long: DataFrame, *, bins: int = 30) -> DataFrame:
                     F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
-def density(long: DataFrame, *, points: int = 200, fine_bins: int = 2048) -> DataFrame:
+def density(long: DataFrame, *, points: int = 200, bins: int | None = None) -> DataFrame:
     """Gaussian kernel density on a ``points`` grid per statistic (TS4).
 
-    Values are first reduced to at most ``fine_bins`` weighted bin centres per
-    statistic (an aggregate), so the kernel sum is grid x bins, bounded no
-    matter how many documents there are.  Bandwidth: Scott's rule."""
-    summ = long.groupBy("stat").agg(F.min("value").alias("lo"), F.max("value").alias("hi"),
-                                    F.count(F.lit(1)).alias("n_obs"),
-                                    F.stddev_samp("value").alias("sd"))
-    w = F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-12))
-    centres = (long.join(summ, "stat")
-               .select("stat", F.least(F.floor((F.col("value") - F.col("lo")) / w * fine_bins),
-                                       F.lit(fine_bins - 1)).alias("b"), "lo", "hi")
-               .groupBy("stat", "b", "lo", "hi").agg(F.count(F.lit(1)).alias("weight"))
-               .select("stat", (F.col("lo") + (F.col("b") + 0.5) * w / fine_bins).alias("centre"),
-                       "weight"))
-    grid = summ.select("stat", "n_obs",
-                       F.greatest(F.col("sd") * F.pow(F.col("n_obs"), -0.2), F.lit(1e-9)).alias("h"),
-                       F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)),
-                                             lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * i / (points - 1)))
-                       .alias("x"))
-    z = (F.col("x") - F.col("centre")) / F.col("h")
-    return (grid.join(centres, "stat")
-            .groupBy("stat", "x", "n_obs", "h")
-            .agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("s"))
-            .select("stat", "x", (F.col("s") / (F.col("n_obs") * F.col("h") * math.sqrt(2 * math.pi)))
-                    .alias("density")))
-
-
-def box_summary(long: DataFrame, *, by: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Quartiles, 1.5-IQR whiskers and outlier count per statistic (TS5).
-
-    ``exact`` uses ``percentile`` (memory per group = distinct values);
-    otherwise ``percentile_approx`` with bounded memory for huge groups."""
+    Equal values are counted first; each distinct value then adds its kernel to the
+    grid points, and the sums are combined before the shuffle.  The grids (one row per
+    statistic) are a scalar sub-query.  ``bins`` replaces the values by that many bin
+    centres per statistic, an approximation for statistics with very many distinct
+    values.  Bandwidth: Scott's rule."""
+    summ = long.where(F.col("value").isNotNull()).groupBy("stat").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("n_obs"),
+        F.stddev_samp("value").alias("sd"))
+    h = F.greatest(F.coalesce("sd", F.lit(0.0)) * F.pow(F.col("n_obs"), -0.2), F.lit(1e-9))
+    grids = summ.select(F.map_from_entries(F.collect_list(F.struct("stat", F.struct("lo", "hi", "n_obs", h.alias("h")))))).scalar()
+    weighted = (long.where(F.col("value").isNotNull()).groupBy("stat", "value").agg(F.count(F.lit(1)).alias("weight"))
+                .withColumn("g", grids[F.col("stat")]))
+    span = F.col("g.hi") - F.col("g.lo")
+    if bins is not None:
+        b = F.least(F.floor((F.col("value") - F.col("g.lo")) / F.greatest(span, F.lit(1e-12)) * bins), F.lit(bins - 1))
+        weighted = weighted.withColumn("value", F.col("g.lo") + (b + 0.5) * F.greatest(span, F.lit(1e-12)) / bins)
+    at = weighted.select("stat", "value", "weight", "g", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    x = F.col("g.lo") + span * F.col("i") / (points - 1)
+    z = (x - F.col("value")) / F.col("g.h")
+    return (at.groupBy("stat", "i").agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("s"))
+            .withColumn("g", grids[F.col("stat")])
+            .select("stat", x.alias("x"),
+                    (F.col("s") / (F.col("g.n_obs") * F.col("g.h") * math.sqrt(2 * math.pi))).alias("density")))
+
+
+def box_summary(long: DataFrame, *, by: list[str] | None = None) -> DataFrame:
+    """Quartiles, 1.5-IQR whiskers and outlier count per statistic (TS5), exact.
+
+    No group meets in one task: equal values are counted, the distinct values are
+    range-sorted and written, running counts inside each range and a sum over the ranges
+    before it give every value its ranks, and the values at the quartile ranks are
+    picked by an aggregate.  Quartiles interpolate between neighbouring ranks."""
     keys = ["stat"] + (by or [])
-    if exact:
-        q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        q = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
-    quart = long.groupBy(*keys).agg(q.alias("q"), F.count(F.lit(1)).alias("n"))
-    quart = quart.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                         F.col("q")[2].alias("q3"))
+    counts = long.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c"))
+    ranged = materialize(counts.repartitionByRange(*keys, "value").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(*keys, "part").agg(F.sum("c").alias("cp"))
+               .withColumn("off", F.coalesce(F.sum("cp").over(before), F.lit(0)))
+               .withColumn("n", F.sum("cp").over(Window.partitionBy(*keys))))
+    inside = Window.partitionBy(*keys, "part").orderBy("value")
+    ranks = (ranged.withColumn("upto", F.sum("c").over(inside)).join(offsets, [*keys, "part"])
+             .withColumn("upto", F.col("off") + F.col("upto")))
+
+    def at(q: float):
+        place = F.lit(q) * (F.col("n") - 1)
+        low = F.min(F.when(F.col("upto") > F.floor(place), F.col("value")))
+        high = F.min(F.when(F.col("upto") > F.ceil(place), F.col("value")))
+        share = F.lit(q) * (F.max("n") - 1)
+        return low + (high - low) * (share - F.floor(share))
+    quart = ranks.groupBy(*keys).agg(F.max("n").alias("n"), at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
-    j = long.join(quart, keys)
-    return j.groupBy(*keys, "n", "q1", "median", "q3").agg(
+    return ranged.join(quart, keys).groupBy(*keys, "n", "q1", "median", "q3").agg(
         F.min(F.when(F.col("value") >= lo_f, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(F.col("value") <= hi_f, F.col("value"))).alias("whisker_hi"),
-        F.count(F.when((F.col("value") < lo_f) | (F.col("value") > hi_f), 1)).alias("n_outliers"))
+        F.coalesce(F.sum(F.when((F.col("value") < lo_f) | (F.col("value") > hi_f), F.col("c"))), F.lit(0)).alias("n_outliers"))
 
 
 def correlation(stats: DataFrame, cols: list[str]) -> DataFrame:

@@ -92,18 +92,11 @@ def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
             .where(F.round("npmi", 9) >= min_npmi))
 
 
-def append_phrases(tokens, phrases: list[str]):
-    """Column: token set with the joined form of every listed phrase found (T5)."""
-    joined = F.array(*[F.lit(p) for p in phrases]) if phrases else F.array().cast("array<string>")
-    pairs = adjacent_pairs(tokens, lambda a, b: F.concat_ws(" ", a, b))
-    found = F.filter(pairs, lambda p: F.array_contains(joined, p))
-    return F.array_distinct(F.concat(tokens, F.transform(found, lambda p: F.regexp_replace(p, " ", ""))))
-
-
 def append_phrases_join(df: DataFrame, id_col: str, tokens_col: str, phrases: DataFrame,
                         *, out: str = "with_phrases") -> DataFrame:
     """Token set plus the joined form of every phrase (column ``phrase``,
-    words separated by one space) that occurs as adjacent tokens (T5).
+    words separated by one space) that occurs as adjacent tokens, in order of the
+    joined form (T5).
 
     Any number of phrases: adjacent pairs are semi-joined with the phrase
     table and the matches are gathered per document (a group is one
@@ -111,7 +104,7 @@ def append_phrases_join(df: DataFrame, id_col: str, tokens_col: str, phrases: Da
     pairs = explode_tokens(df, adjacent_pairs(F.col(tokens_col), lambda a, b: F.concat_ws(" ", a, b)),
                            keep=[id_col], alias="phrase")
     found = (pairs.join(phrases.select("phrase").distinct(), "phrase", "left_semi")
-             .groupBy(id_col).agg(F.collect_set(F.regexp_replace("phrase", " ", "")).alias("_found")))
+             .groupBy(id_col).agg(F.array_sort(F.collect_set(F.regexp_replace("phrase", " ", ""))).alias("_found")))
     return (df.join(found, id_col, "left")
             .withColumn(out, F.array_distinct(F.concat(
                 F.col(tokens_col), F.coalesce("_found", F.array().cast("array<string>")))))

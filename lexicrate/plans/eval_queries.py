@@ -144,6 +144,26 @@ def length_vs_error(spark, sf):
             .withColumn("mean_length", F.round("mean_length", 6)))
 
 
+@query("length_box_by_error", oracle=f"""
+WITH {_PRED_SQL},
+v AS (SELECT label <> prediction AS misclassified, num_chars_per_doc::DOUBLE AS value FROM preds),
+q AS (SELECT misclassified, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+             quantile_cont(value, 0.75) AS q3 FROM v GROUP BY 1)
+SELECT 'num_chars_per_doc' AS stat, q.misclassified, q.n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END), 6) AS whisker_lo,
+  round(max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END), 6) AS whisker_hi,
+  count(CASE WHEN value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) THEN 1 END) AS n_outliers
+FROM v JOIN q ON q.misclassified = v.misclassified GROUP BY q.misclassified, q.n, q1, median, q3
+""")
+def length_box_by_error(spark, sf):
+    """Box summary of the text length of right and of misclassified documents (TS5)."""
+    long = predictions(spark, sf).select(F.lit("num_chars_per_doc").alias("stat"),
+                                         (F.col("label") != F.col("prediction")).alias("misclassified"),
+                                         F.col("num_chars_per_doc").cast("double").alias("value"))
+    out = TS.box_summary(long, by=["misclassified"])
+    return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")})
+
+
 # ------------------------------------------------------------ scoring ----
 def _rules(spark, sf):
     d = split_docs(spark, sf)

@@ -91,10 +91,17 @@ def stat_histogram(spark, sf):
     return _rounded(T.histogram(long, bins=30), ["bin_lo", "bin_hi"])
 
 
-@query("stat_density")
+@query("stat_density", oracle=f"""
+WITH {_STATS_SQL},
+g AS (SELECT stat, min(value) AS lo, max(value) AS hi, count(*) AS n,
+             greatest(stddev_samp(value) * pow(count(*), -0.2), 1e-9) AS h FROM long GROUP BY stat),
+x AS (SELECT *, lo + (hi - lo) * i / 199 AS x FROM g, range(200) r(i))
+SELECT x.stat, round(x.x, 6) AS x,
+       round(sum(exp(-0.5 * ((x.x - l.value) / h) * ((x.x - l.value) / h))) / (n * h * sqrt(2 * pi())), 6) AS density
+FROM x JOIN long l ON l.stat = x.stat GROUP BY x.stat, x.x, n, h
+""")
 def stat_density(spark, sf):
-    long = _stats_long(spark, sf)
-    return T.density(long, points=200)
+    return _rounded(T.density(_stats_long(spark, sf), points=200), ["x", "density"])
 
 
 @query("box_summary", oracle=f"""

@@ -63,8 +63,8 @@ PHRASE_MIN_COUNT = 5
 PHRASE_MIN_NPMI = 0.5
 
 
-@query("mine_phrases", oracle=f"""
-WITH toks AS (SELECT doc_id, {_WT} AS toks FROM documents),
+# Scores of adjacent pairs over a table toks (doc_id, toks)
+_MINED_SQL = f"""
 uni AS (SELECT w, count(*) AS nw FROM (SELECT unnest(toks) AS w FROM toks) GROUP BY w),
 bg AS (SELECT toks[i] AS a, toks[i + 1] AS b
        FROM (SELECT toks, unnest(generate_series(1, len(toks) - 1)) AS i FROM toks)),
@@ -75,8 +75,14 @@ sc AS (
          CASE WHEN n / n_bi >= 1.0 THEN 1.0
               ELSE ln((n / n_bi) / ((ua.nw / n_uni) * (ub.nw / n_uni))) / -ln(n / n_bi) END AS npmi
   FROM bi JOIN uni ua ON ua.w = bi.a JOIN uni ub ON ub.w = bi.b, tot
-  WHERE n >= {PHRASE_MIN_COUNT})
-SELECT phrase, n, round(npmi, 6) AS npmi FROM sc WHERE round(npmi, 9) >= {PHRASE_MIN_NPMI}
+  WHERE n >= {PHRASE_MIN_COUNT}),
+mined AS (SELECT phrase, n, npmi FROM sc WHERE round(npmi, 9) >= {PHRASE_MIN_NPMI})
+"""
+
+
+@query("mine_phrases", oracle=f"""
+WITH toks AS (SELECT doc_id, {_WT} AS toks FROM documents), {_MINED_SQL}
+SELECT phrase, n, round(npmi, 6) AS npmi FROM mined
 """)
 def mine_phrases(spark, sf):
     p = T.mine_phrases(_docs(spark, sf), "tokens", min_count=PHRASE_MIN_COUNT,
@@ -84,12 +90,30 @@ def mine_phrases(spark, sf):
     return p.select("phrase", "n", F.round("npmi", 6).alias("npmi"))
 
 
-@query("preprocess_text")
+@query("preprocess_text", oracle=f"""
+WITH raw AS (SELECT doc_id, {_WT} AS toks FROM documents),
+t AS (SELECT doc_id, unnest(generate_series(0, len(toks) - 1)) AS pos, unnest(toks) AS token FROM raw),
+lex(token, replacement) AS (VALUES {_LEX_SQL}),
+nt AS (SELECT t.doc_id, t.pos, string_split(coalesce(l.replacement, t.token), ' ') AS words
+       FROM t LEFT JOIN lex l ON l.token = t.token),
+nw AS (SELECT doc_id, pos, unnest(words) AS token, unnest(generate_series(1, len(words))) AS k FROM nt),
+toks AS (SELECT doc_id, list(token ORDER BY pos, k) AS toks FROM nw
+         WHERE NOT list_contains([{_STOP_SQL}], token) GROUP BY doc_id), {_MINED_SQL},
+adj AS (SELECT doc_id, toks[i] || ' ' || toks[i + 1] AS phrase
+        FROM (SELECT doc_id, toks, unnest(generate_series(1, len(toks) - 1)) AS i FROM toks)),
+parts AS (SELECT doc_id, unnest(toks) AS token, 0 AS part, unnest(generate_series(1, len(toks))) AS pos FROM toks
+          UNION ALL
+          SELECT a.doc_id, replace(a.phrase, ' ', ''), 1, 0 FROM adj a JOIN mined m ON m.phrase = a.phrase),
+firsts AS (SELECT doc_id, token, min((part, pos)) AS place FROM parts GROUP BY doc_id, token),
+done AS (SELECT doc_id, string_agg(token, ' ' ORDER BY place, token) AS s FROM firsts GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(done.s, '') END AS text_pre
+FROM documents d LEFT JOIN done ON done.doc_id = d.doc_id
+""")
 def preprocess_text(spark, sf):
     """Normalise, expand contractions, drop stop words, add mined phrases."""
     d = T.lexicon_normalise(_docs(spark, sf), "tokens", CONTRACTIONS, out="norm")
     d = d.withColumn("kept", T.remove_stopwords(F.col("norm"), ENGLISH_STOPWORDS))
-    phrases = T.mine_phrases(d, "kept", min_count=PHRASE_MIN_COUNT, min_npmi=0.9)
+    phrases = T.mine_phrases(d, "kept", min_count=PHRASE_MIN_COUNT, min_npmi=PHRASE_MIN_NPMI)
     out = T.append_phrases_join(d, "doc_id", "kept", phrases, out="final")
     return out.select("doc_id", F.array_join("final", " ").alias("text_pre"))
 
