@@ -109,6 +109,19 @@ def similarity_encode(values: DataFrame, col: str, categories: DataFrame, cat_co
                      jaccard(F.col("grams"), F.col("c.grams")).alias("similarity"))
 
 
+def feature_union(blocks: dict[str, DataFrame], id_col: str) -> DataFrame:
+    """Feature blocks as one sparse long table (FE7): id, block, name, value.
+
+    Each block has the columns (id, name, value); zeros are left out, no vector is
+    made dense and no vocabulary is cut."""
+    parts = [df.select(id_col, F.lit(block).alias("block"), F.col("name").cast("string").alias("name"),
+                       F.col("value").cast("double").alias("value")) for block, df in blocks.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.where(F.col("value") != 0)
+
+
 def label_encode(df: DataFrame, col: str, *, out: str = "label_idx"):
     """Alphabetical label code (FE8).  Returns (DataFrame, StringIndexerModel);
     ``IndexToString(labels=model.labels)`` decodes."""

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IndexToString, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix  # noqa: F401
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
 from lexicrate.functions.text import first_line, vector_tokens
 from lexicrate.operators import features as FE
+from lexicrate.operators.reduce import truncated_svd
 from lexicrate.plans import sql as S
 from lexicrate.plans.registry import query
 from lexicrate.tables import table
@@ -134,49 +133,85 @@ def label_join(spark, sf):
             .join(table(spark, sf, "labels"), "doc_id").select("doc_id", "lang", "quality", "toxic"))
 
 
-SVD_K = 8
+SVD_K = 24
 
 
 @query("svd_features")
 def svd_features(spark, sf):
-    """Truncated SVD of the TF-IDF matrix, rows keyed by doc_id (FE4).
-
-    The Gramian-vector products run distributed (ARPACK mode) so only the
-    k right singular vectors live on the driver."""
+    """Truncated SVD of the TF-IDF matrix over its whole vocabulary, rows keyed by doc_id (FE4)."""
     d = _docs(spark, sf).select("doc_id", vector_tokens("text").alias("tokens"))
-    vec, _ = FE.tfidf_vectors(d, "tokens", vocab_size=1 << 12, min_df=2.0)
-    from pyspark.mllib.linalg import Vectors as MV
-    rows = vec.select("doc_id", "features").rdd.map(
-        lambda r: IndexedRow(r.doc_id, MV.fromML(r.features)))
-    svd = IndexedRowMatrix(rows).computeSVD(SVD_K, computeU=True)
-    u = svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()]))
-    s = [float(x) for x in svd.s.toArray()]
-    out = spark.createDataFrame(u, "doc_id long, u array<double>")
-    return out.select("doc_id", F.transform("u", lambda x, i: x * F.lit(s)[i]).alias("svd"))
-
-
-@query("assemble_features")
+    out, _ = truncated_svd(FE.tfidf_long(d, "doc_id", "tokens"), "doc_id", "term", k=SVD_K)
+    return out
+
+
+def _tfidf_sql(name: str, tokens: str) -> str:
+    """CTEs {name} (doc_id, term, weight): smoothed, L2-normalised TF-IDF."""
+    return f"""
+{name}_tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({tokens}) AS term FROM documents) GROUP BY ALL),
+{name}_df AS (SELECT term, count(*) AS df FROM {name}_tf GROUP BY term),
+{name}_w AS (SELECT t.doc_id, t.term, t.tf * (ln((n.n + 1) / (f.df + 1)) + 1) AS raw
+             FROM {name}_tf t JOIN {name}_df f ON f.term = t.term, (SELECT count(*) AS n FROM documents) n),
+{name} AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM {name}_w)
+"""
+
+
+_SIMILARITY_SQL = f"""
+vg AS (SELECT DISTINCT source AS value, {_grams_sql('source')} AS g FROM documents),
+sims AS (SELECT a.value, b.value AS category, len(list_intersect(a.g, b.g))
+                / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) AS similarity
+         FROM vg a, vg b WHERE b.value IS NOT NULL)
+"""
+
+
+@query("assemble_features", oracle=f"""
+WITH {_tfidf_sql('ti', _TITLE_VT)}, {_tfidf_sql('de', _VT)}, {_SIMILARITY_SQL},
+fr AS (SELECT source, count(*) / (SELECT count(*) FROM documents) AS share FROM documents GROUP BY source)
+SELECT * FROM (
+  SELECT doc_id, 'title' AS block, term AS name, round(weight, 6) AS value FROM ti
+  UNION ALL SELECT doc_id, 'description', term, round(weight, 6) FROM de
+  UNION ALL SELECT doc_id, 'origin', source, 1.0 FROM documents WHERE source IS NOT NULL
+  UNION ALL SELECT d.doc_id, 'origin_similarity', s.category, round(s.similarity, 6)
+            FROM documents d JOIN sims s ON s.value IS NOT DISTINCT FROM d.source WHERE s.similarity <> 0
+  UNION ALL SELECT d.doc_id, 'director', 'frequency', round(fr.share, 6)
+            FROM documents d JOIN fr ON fr.source = d.source)
+""")
 def assemble_features(spark, sf):
-    """Feature union: TF-IDF(title) + TF-IDF(description) + one-hot(source)
-    + source similarity vector + frequency-encoded source (FE7)."""
-    d = _docs(spark, sf).select("doc_id", "lang", "source",
-                                vector_tokens(first_line("text")).alias("title_toks"),
-                                vector_tokens("text").alias("desc_toks"))
-    t, _ = FE.tfidf_vectors(d, "title_toks", out="f_title", vocab_size=1 << 12)
-    t, _ = FE.tfidf_vectors(t, "desc_toks", out="f_desc", vocab_size=1 << 14)
-    t, _ = FE.one_hot(t, "source", out="f_from")
-    sim = FE.similarity_encode(d, "source", d, "source")
-    simv = (sim.groupBy("value").agg(F.array_sort(F.collect_list(F.struct("category", "similarity")))
-                                     .alias("s"))
-            .select(F.col("value").alias("source"),
-                    F.transform("s", lambda x: x["similarity"]).alias("sim")))
-    from pyspark.ml.functions import array_to_vector
-    freq = d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    """Feature union over the whole vocabularies (FE7): TF-IDF of title and
+    description, origin, its similarity to each origin, director frequency."""
+    d = _docs(spark, sf)
+    docs = d.select("doc_id", "source")
+
+    def tfidf(text):
+        t = FE.tfidf_long(d.select("doc_id", vector_tokens(text).alias("tokens")), "doc_id", "tokens")
+        return t.select("doc_id", F.col("term").alias("name"), F.col("weight").alias("value"))
+    sim = (FE.similarity_encode(d, "source", d, "source").where(F.col("similarity") > 0).groupBy("value")
+           .agg(F.collect_list(F.struct("category", "similarity")).alias("sims")))
+    similar = (docs.join(sim, docs["source"].eqNullSafe(sim["value"])).select("doc_id", F.explode("sims").alias("s"))
+               .select("doc_id", F.col("s.category").alias("name"), F.col("s.similarity").alias("value")))
+    share = d.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     total = d.select(F.count(F.lit(1))).scalar()
-    t = (t.join(simv, "source", "left").join(freq, "source", "left")
-         .withColumn("f_sim", array_to_vector("sim"))
-         .withColumn("f_dir", F.col("n") / total))
-    va = VectorAssembler(inputCols=["f_title", "f_desc", "f_from", "f_sim", "f_dir"], outputCol="features",
-                         handleInvalid="error")
-    out = va.transform(t)
-    return out.select("doc_id", "lang", F.size(vector_to_array("features")).alias("n_features"))
+    known = docs.where(F.col("source").isNotNull())
+    blocks = {"title": tfidf(first_line("text")), "description": tfidf(F.col("text")),
+              "origin": known.select("doc_id", F.col("source").alias("name"), F.lit(1.0).alias("value")),
+              "origin_similarity": similar,
+              "director": known.join(share, "source").select("doc_id", F.lit("frequency").alias("name"),
+                                                             (F.col("n") / total).alias("value"))}
+    return FE.feature_union(blocks, "doc_id").withColumn("value", F.round("value", 6))
+
+
+@query("ngram_tfidf", oracle=f"""
+WITH tk AS (SELECT doc_id, {_TITLE_VT} AS t FROM documents),
+gr AS (SELECT doc_id, array_to_string(t[i:i + n - 1], ' ') AS term
+       FROM (SELECT doc_id, t, n, unnest(generate_series(1, len(t) - n + 1)) AS i
+             FROM tk, (VALUES (2), (3), (4)) v(n) WHERE len(t) >= n)),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM gr GROUP BY ALL),
+dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT tf.doc_id, tf.term, tf.tf, tf.tf * (ln((n.n + 1) / (dfq.df + 1)) + 1) AS raw
+      FROM tf JOIN dfq ON dfq.term = tf.term, (SELECT count(*) AS n FROM documents) n)
+SELECT doc_id, term, tf, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w
+""")
+def ngram_tfidf(spark, sf):
+    """TF-IDF of the title's word 2- to 4-grams (FE3)."""
+    d = _docs(spark, sf).select("doc_id", vector_tokens(first_line("text")).alias("t"))
+    grams = d.select("doc_id", FE.word_ngrams(F.col("t"), 2, 4).alias("grams"))
+    return FE.tfidf_long(grams, "doc_id", "grams").withColumn("weight", F.round("weight", 6))

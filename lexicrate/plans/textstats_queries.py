@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from lexicrate.functions.constants import ENGLISH_STOPWORDS
 from lexicrate.functions.text import vector_tokens
 from lexicrate.operators import textstats as T
+from lexicrate.operators.reduce import principal_axes
 from lexicrate.plans import sql as S
 from lexicrate.plans.registry import query
 from lexicrate.tables import table
@@ -129,22 +129,12 @@ def stat_correlation(spark, sf):
     return _rounded(T.correlation(_stats(spark, sf), T.STAT_COLUMNS), ["corr"])
 
 
-def _pca_2d(df, features_col, *, with_mean: bool, with_std: bool, id_col: str):
-    scaled = StandardScaler(inputCol=features_col, outputCol="_scaled",
-                            withMean=with_mean, withStd=with_std).fit(df).transform(df)
-    model = PCA(k=2, inputCol="_scaled", outputCol="_pca").fit(scaled)
-    out = model.transform(scaled).select(id_col, *[c for c in df.columns if c not in (id_col, features_col)],
-                                         vector_to_array("_pca").alias("_p"))
-    return out.select(*[c for c in out.columns if c != "_p"],
-                      F.col("_p")[0].alias("pca1"), F.col("_p")[1].alias("pca2"))
-
-
 @query("pca_embeddings")
 def pca_embeddings(spark, sf):
     """Embeddings centred (not scaled) and projected on two principal axes (TS7)."""
     e = table(spark, sf, "embeddings").select("vec_id", "label",
                                              array_to_vector("embedding").alias("features"))
-    return _pca_2d(e, "features", with_mean=True, with_std=False, id_col="vec_id")
+    return principal_axes(e, "features", with_mean=True, with_std=False, id_col="vec_id")
 
 
 @query("pca_tfidf")
@@ -154,5 +144,5 @@ def pca_tfidf(spark, sf):
     from lexicrate.operators.features import tfidf_vectors
     d = table(spark, sf, "documents").select("doc_id", "lang", vector_tokens("text").alias("tokens"))
     normed, _ = tfidf_vectors(d, "tokens", out="features", vocab_size=1000)
-    return _pca_2d(normed.select("doc_id", "lang", "features"), "features",
-                   with_mean=False, with_std=True, id_col="doc_id")
+    return principal_axes(normed.select("doc_id", "lang", "features"), "features",
+                          with_mean=False, with_std=True, id_col="doc_id")
