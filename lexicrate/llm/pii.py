@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data (native).
 
-Candidates are found by one pattern, validated by the rules of their kind
+Candidates are found by patterns, validated by the rules of their kind
 (Luhn sum, number plan, octets, calendar), mapped to a pair of numbers (a, b)
 with a < A and b < B, and permuted by a keyed Feistel network on Z_A x Z_B
 (each round adds a keyed hash of one half to the other, modulo its size, which
@@ -11,6 +11,13 @@ documents whatever their notation.  Mail addresses keep their domain; their
 local part goes through the same network letter by letter and digit by digit.
 What fails validation stays as it is.
 
+A text is cut into pieces kind by kind: mail addresses, network addresses,
+dates and SSNs first, then cards in a usual grouping, phones, and cards in any
+other grouping; each kind sees what the earlier ones left.  A card may be any
+part of a run of numbers that begins and ends at a space (a card number, its
+expiry date and code, another card): the first beginning with a part of 13 to
+19 digits that passes Luhn counts, with its longest such part.
+
 Kinds: ``email``, ``ipv4``, ``date`` (year-month-day with - or /, day and month
 before the year with . or /, years 1900 to 2099), ``ssn``, ``card`` (13 to 19
 digits, in groups by space or hyphen or not), ``phone`` (North American number
@@ -35,10 +42,20 @@ PATTERNS = {
     "ipv4": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)[0-9]{4})(?![./-]?[0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?!-?[0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z.-])(?:\+?1[-. ]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[-. ])?[2-9][0-9]{2}[-.][0-9]{4}(?!-?[0-9A-Za-z])",
 }
-ANY = "|".join(PATTERNS.values())
+FIRST = "|".join(PATTERNS[k] for k in ("email", "ipv4", "date", "ssn"))
+#: Numbers joined by hyphens, and runs of them with one space between that have digits enough for a card.
+NUMBER = r"[0-9]++(?:-[0-9]++)*+"
+RUN = rf"(?<![0-9A-Za-z.-])(?=[0-9](?:[ -]?[0-9]){{12}}){NUMBER}(?!-?[0-9A-Za-z])(?: {NUMBER}(?!-?[0-9A-Za-z]))*+"
+#: Usual groupings: none, 4-4-4-4, 4-4-4-4-3, 4-6-5, 4-6-4, 4-4-4-1, 4-3-3-3, 6-13.
+USUAL = "^(?:[0-9]{13,19}|" + "|".join("[ -]".join(f"[0-9]{{{n}}}" for n in g) for g in (
+    (4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4), (4, 4, 4, 1), (4, 3, 3, 3), (6, 13))) + ")$"
+SHORTEST, LONGEST = 13, 19
+#: Stands, with a letter that counts its numbers (a is 1), before a number that begins a card; with z it is a character of the text.
+MARK = "\ue000"
+LETTERS = "abcdefghijklmnopqrs"
+MARKED = "|".join(f"{MARK}{c}{NUMBER}(?: (?:{MARK}[a-s])?{NUMBER}){{{i}}}" for i, c in enumerate(LETTERS))
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 DAYS = (LAST_DAY - FIRST_DAY).days + 1
 #: The larger half of the days' domain: the least divisor pair, so that the halves multiply to DAYS.
@@ -110,8 +127,26 @@ def card(m: Column, key: Column) -> Column:
     body = F.transform(F.array(F.struct(out.alias("o"), left.alias("l"), n.alias("n"))),
                        lambda s: F.concat(_pad(s["o"]["a"], s["l"]), _pad(s["o"]["b"], s["n"] - s["l"])))[0]
     whole = F.transform(F.array(body), lambda b: F.concat(b, F.pmod(10 - luhn_sum(F.concat(b, F.lit("0"))) % 10, F.lit(10)).cast("string")))[0]
-    valid = (F.length(d) >= 13) & (F.length(d) <= 19) & (luhn_sum(d) % 10 == 0) & ~d.rlike("^0+$")
-    return F.when(valid, _refill(m, whole))
+    return F.when(is_card(d), _refill(m, whole))
+
+
+def is_card(digits: Column) -> Column:
+    return F.length(digits).between(SHORTEST, LONGEST) & (luhn_sum(digits) % 10 == 0) & ~digits.rlike("^0+$")
+
+
+def _mark_cards(run: Column, usual: bool) -> Column:
+    """The run with a mark before each number that begins a card."""
+    def longest(window):
+        parts = F.array(*[F.regexp_extract(window, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?= |$)", 0) for n in range(LONGEST, SHORTEST - 1, -1)])
+        return F.get(F.filter(parts, lambda p: (p.rlike(USUAL) if usual else (p != "")) & is_card(_digits(p))), F.lit(0))
+
+    def mark(words, i):
+        part = F.transform(F.array(F.array_join(F.slice(words, i, F.lit(LONGEST)), " ")), longest)[0]
+        letter = F.substr(F.lit(LETTERS), F.size(F.split(part, " ")), F.lit(1))
+        return F.concat(F.when(part.isNotNull(), F.concat(F.lit(MARK), letter)).otherwise(""), F.element_at(words, i))
+
+    words = F.array(F.split(run, " "))
+    return F.transform(words, lambda w: F.array_join(F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: mark(w, i)), " "))[0]
 
 
 def ipv4(m: Column, key: Column) -> Column:
@@ -195,27 +230,56 @@ def email(m: Column, key: Column) -> Column:
 KINDS = {"email": email, "ipv4": ipv4, "date": calendar, "ssn": ssn, "card": card, "phone": phone}
 
 
-def pseudonym(m: Column, key: Column) -> Column:
-    """struct(kind, text) of a candidate; kind is null if no rule accepts it."""
+def pseudonym(m: Column, key: Column, kinds: tuple[str, ...]) -> Column:
+    """struct(kind, text) of a candidate of one of ``kinds``; kind is null if no rule accepts it."""
     new, kind = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name in reversed(KINDS):
-        fits = m.rlike("^(?:" + PATTERNS[name] + ")$")
+    for name in reversed(kinds):
+        fits = m.rlike("^(?:" + PATTERNS[name] + ")$") if name in PATTERNS else F.lit(True)
         value = F.when(fits, KINDS[name](m, key))
         kind = F.when(fits & value.isNotNull(), F.lit(name)).otherwise(kind)
         new = F.coalesce(value, new)
     return F.struct(kind.alias("kind"), F.coalesce(new, m).alias("text"))
 
 
+def _clear(text: Column) -> Column:
+    return F.struct(F.lit(None).cast("string").alias("kind"), text.alias("text"))
+
+
+def _pieces(between: Column, new: Column) -> Column:
+    both = F.flatten(F.zip_with(between, new, lambda b, f: F.array(_clear(b), f)))
+    return F.filter(both, lambda p: p["text"] != "")
+
+
+def _cut(text: Column, pattern: str, key: Column, kinds: tuple[str, ...]) -> Column:
+    """The pieces of a text: candidates of ``kinds``, replaced if valid, and what lies between."""
+    return _pieces(F.split(text, pattern, -1), F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: pseudonym(m, key, kinds)))
+
+
+def _cut_cards(text: Column, key: Column, usual: bool) -> Column:
+    safe = F.replace(text, F.lit(MARK), F.lit(MARK + "z"))
+    runs = F.transform(F.regexp_extract_all(safe, F.lit(RUN), F.lit(0)), lambda r: _mark_cards(r, usual))
+    marked = F.array_join(F.zip_with(F.split(safe, RUN, -1), runs, lambda b, r: F.concat(b, F.coalesce(r, F.lit("")))), "")
+    bare = lambda x: F.regexp_replace(x, MARK + "[a-s]", "")
+    return F.transform(F.array(marked), lambda t: _pieces(
+        F.transform(F.split(t, MARKED, -1), lambda b: F.replace(bare(b), F.lit(MARK + "z"), F.lit(MARK))),
+        F.transform(F.transform(F.regexp_extract_all(t, F.lit(MARKED), F.lit(0)), bare), lambda m: pseudonym(m, key, ("card",)))))[0]
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced, and the added
     columns ``n_replaced`` (long) and ``kinds`` (the kinds of what was replaced, in order)."""
-    text = F.col(text_col)
-    found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    new = F.transform(found, lambda m: pseudonym(m, F.lit(key)))
+    text, key = F.col(text_col), F.lit(key)
+    new = F.when(text.rlike("[0-9@]"), F.array(_clear(text))).otherwise(F.array().cast("array<struct<kind:string,text:string>>"))
+
+    def sweep(pieces, pattern, cut):
+        return F.flatten(F.transform(pieces, lambda p: F.when(p["kind"].isNull() & p["text"].rlike(pattern), cut(p["text"])).otherwise(F.array(p))))
+
+    new = sweep(new, FIRST, lambda t: _cut(t, FIRST, key, ("email", "ipv4", "date", "ssn")))
+    new = sweep(new, RUN, lambda t: _cut_cards(t, key, True))
+    new = sweep(new, PATTERNS["phone"], lambda t: _cut(t, PATTERNS["phone"], key, ("phone",)))
+    new = sweep(new, RUN, lambda t: _cut_cards(t, key, False))
     out = docs.withColumn("_new", new)
-    between = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(between, F.transform("_new", lambda s: s["text"]), lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), "")
     kinds = F.filter(F.transform("_new", lambda s: s["kind"]), lambda k: k.isNotNull())
-    return (out.withColumns({text_col: F.when(F.size("_new") > 0, joined).otherwise(text),
+    return (out.withColumns({text_col: F.when(F.size("_new") > 0, F.array_join(F.transform("_new", lambda s: s["text"]), "")).otherwise(text),
                              "kinds": F.coalesce(kinds, F.array().cast("array<string>"))})
             .withColumn("n_replaced", F.size("kinds").cast("long")).drop("_new"))

@@ -297,6 +297,27 @@ def test_pii(spark):
     assert f"{year.month}/{year.day}/{year.year}" not in got[24].text.split()[0] and f"{year.day}.{year.month}.{year.year}" in got[24].text
 
 
+def test_pii_cards_among_numbers(spark):
+    """A valid card is found whatever numbers stand before or after it, and other kinds keep what it leaves."""
+    a, b, phone = "4111 1111 1111 1111", "5500-0000-0000-0004", "415-555-2671"
+    texts = [a, a + " 03/27", "4111111111111111 123", "4111111111111111 03 27 123", f"{a} 123 {b} 456", f"{b} {a}", f"12 {a} 7", f"{a} 01/02/2027",
+             f"{phone} {a} {phone}", "3782 822463 10005 1234", a[:-1] + "2 03/27", "\ue000a4111 1 \ue000", "41 11 11 11 11 11 11 11 03"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.text, x.kinds) for x in pii.pseudonymise(df, "key").collect()}
+    new = got[0][0]
+    assert new != a and re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", a)
+    assert got[1] == (new + " 03/27", ["card"])
+    assert got[2] == (new.replace(" ", "") + " 123", ["card"]) and got[3] == (new.replace(" ", "") + " 03 27 123", ["card"])
+    other = got[5][0].split(" ")[0]
+    assert other != b and got[4] == (f"{new} 123 {other} 456", ["card"] * 2) and got[5] == (f"{other} {new}", ["card"] * 2)
+    assert got[6] == (f"12 {new} 7", ["card"])
+    assert got[7][0].startswith(new + " ") and got[7][1] == ["card", "date"] and "2027" not in got[7][0]
+    assert got[8][1] == ["phone", "card", "phone"] and new in got[8][0] and phone not in got[8][0]
+    assert got[9][1] == ["card"] and got[9][0].endswith(" 1234") and not got[9][0].startswith("3782 8")
+    assert got[10] == (texts[10], []) and got[11] == (texts[11], [])
+    assert got[12][1] == ["card"] and re.sub(r"\D", "", got[12][0]) == re.sub(r"\D", "", new) + "03"
+
+
 def test_pii_permutes(spark):
     """Small domains are mapped one to one: all exchanges of one line, all days."""
     d = spark.range(17 * 4297).select(pii.feistel(F.floor(F.col("id") / 4297), F.col("id") % 4297, F.lit(17), F.lit(4297), F.lit("k"), "date").alias("s"))
