@@ -19,9 +19,11 @@ expiry date and code, another card): the first beginning with a part of 13 to
 19 digits that passes Luhn counts, with its longest such part.
 
 Kinds: ``email``, ``ipv4``, ``date`` (year-month-day with - or /, day and month
-before the year with . or /, years 1900 to 2099), ``ssn``, ``card`` (13 to 19
-digits, in groups by space or hyphen or not), ``phone`` (North American number
-plan, area code optional).
+before the year with . or /, years 1900 to 2099, alone or before T and a time),
+``ssn``, ``card`` (13 to 19 digits, in groups by space or hyphen or not),
+``phone`` (North American number plan, area code optional; its parts joined by
+hyphen, dot, space or nothing, without area code or +1 by hyphen or dot only;
+an area code in brackets may be any three digits).
 
 Defined results: a null text stays null with no replacements; empty and very
 long texts are handled whole; other columns pass through, and a column that
@@ -40,9 +42,10 @@ ROUNDS = 10
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ipv4": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9A-Za-z])",
-    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)[0-9]{4})(?![./-]?[0-9A-Za-z])",
+    "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/)[0-9]{1,2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)[0-9]{4})(?:(?=[Tt][0-9]{1,2}:?[0-9]{2})|(?![./-]?[0-9A-Za-z]))",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z.-])(?:\+?1[-. ]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[-. ])?[2-9][0-9]{2}[-.][0-9]{4}(?!-?[0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z.-])(?:(?:\+?1[-. ]?)?(?:\([0-9]{3}\)[-. ]?|[2-9][0-9]{2}[-. ]?)[2-9][0-9]{2}[-. ]?[0-9]{4}"
+             r"|\+1[-. ]?[2-9][0-9]{2}[-. ]?[0-9]{4}|(?:1[-. ]?)?[2-9][0-9]{2}[-.][0-9]{4})(?!-?[0-9A-Za-z])",
 }
 FIRST = "|".join(PATTERNS[k] for k in ("email", "ipv4", "date", "ssn"))
 #: Numbers joined by hyphens, and runs of them with one space between that have digits enough for a card.
@@ -193,15 +196,19 @@ def ssn(m: Column, key: Column) -> Column:
 def phone(m: Column, key: Column) -> Column:
     d = _digits(m)
     n = F.length(d)
-    code = F.when(n % 10 == 1, F.substr(d, F.lit(1), F.lit(1))).otherwise(F.lit(""))  # the country's 1 stays
+    code = F.when(n.isin(8, 11), F.substr(d, F.lit(1), F.lit(1))).otherwise(F.lit(""))  # the country's 1 stays
     rest = F.substr(d, F.length(code) + 1, F.lit(10))
     has_area = F.length(rest) == 10
-    area = F.when(has_area, _int(rest, 1, 3) - 200).otherwise(0)
+    # areas from 200 and those below it, only written in brackets, are permuted apart: no notation gets an area that it cannot hold
+    low = has_area & (_int(rest, 1, 3) < 200)
+    first = F.when(has_area & ~low, 200).otherwise(0)
+    area = F.when(has_area, _int(rest, 1, 3) - first).otherwise(0)
     exchange = _int(rest, F.when(has_area, 4).otherwise(1), 3) - 200
     line = _int(rest, F.when(has_area, 7).otherwise(4), 4)
-    out = feistel(area * 800 + exchange, line, F.when(has_area, F.lit(640000)).otherwise(F.lit(800)), F.lit(10000), key, "phone")
-    new = F.transform(F.array(out), lambda s: F.concat(
-        code, F.when(has_area, (F.floor(s["a"] / 800) + 200).cast("string")).otherwise(F.lit("")), (s["a"] % 800 + 200).cast("string"), _pad(s["b"], 4)))[0]
+    size = F.when(low, F.lit(160000)).when(has_area, F.lit(640000)).otherwise(F.lit(800))
+    out = feistel(area * 800 + exchange, line, size, F.lit(10000), key, "phone")
+    new = F.transform(F.array(F.struct(out.alias("o"), first.alias("f"))), lambda s: F.concat(
+        code, F.when(has_area, _pad(F.floor(s["o"]["a"] / 800) + s["f"], 3)).otherwise(F.lit("")), (s["o"]["a"] % 800 + 200).cast("string"), _pad(s["o"]["b"], 4)))[0]
     return F.when(F.length(rest).isin(7, 10) & (area >= 0) & (exchange >= 0), _refill(m, new))
 
 

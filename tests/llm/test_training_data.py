@@ -318,6 +318,24 @@ def test_pii_cards_among_numbers(spark):
     assert got[12][1] == ["card"] and re.sub(r"\D", "", got[12][0]) == re.sub(r"\D", "", new) + "03"
 
 
+def test_pii_notations_of_phones_and_dates(spark):
+    """A phone is replaced whole and alike in every notation, a date also before a time."""
+    same = ["415 555 2671", "+14155552671", "4155552671", "(415) 555-2671", "(415)555 2671", "1 415.555.2671", "+1 (415) 555-2671", "415-5552671"]
+    low = ["+1 (017) 555-7713", "(017) 555-7713"]
+    texts = same + low + ["2020-01-02T10:00:00Z", "2020-01-02", "+1 555 7713", "555-7713", "555 7713", "5557713", "017 555 7713", "2020-01-02Texas"]
+    df = spark.createDataFrame([(i, f"x {t}, y") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {texts[x.doc_id]: (x.text[2:-3], x.kinds) for x in pii.pseudonymise(df, "key").collect()}
+    national = lambda t: re.sub(r"\D", "", got[t][0])[-10:]
+    for group, clear in ((same, "4155552671"), (low, "0175557713")):
+        assert len({national(t) for t in group}) == 1 and national(group[0]) != clear
+    assert all(got[t][1] == ["phone"] and re.sub("[0-9]", "0", got[t][0]) == re.sub("[0-9]", "0", t) for t in same + low + ["+1 555 7713", "555-7713"])
+    assert national(low[0])[0] in "01" and national(same[0])[0] not in "01"
+    assert got["2020-01-02T10:00:00Z"] == (got["2020-01-02"][0] + "T10:00:00Z", ["date"]) and got["2020-01-02"][0] != "2020-01-02"
+    assert all(got[t] == (t, []) for t in texts[-4:])
+    every = spark.range(200 * 8).select(F.concat(F.lit("("), F.lpad(F.floor(F.col("id") / 8).cast("string"), 3, "0"), F.lit(") "), (F.col("id") % 8 + 200).cast("string"), F.lit("-0000")).alias("m"))
+    assert every.select(pii.phone(F.col("m"), F.lit("k")).alias("p")).where(r"p RLIKE '^\\([01][0-9]{2}\\) [2-9][0-9]{2}-[0-9]{4}$'").distinct().count() == 1600
+
+
 def test_pii_permutes(spark):
     """Small domains are mapped one to one: all exchanges of one line, all days."""
     d = spark.range(17 * 4297).select(pii.feistel(F.floor(F.col("id") / 4297), F.col("id") % 4297, F.lit(17), F.lit(4297), F.lit("k"), "date").alias("s"))
