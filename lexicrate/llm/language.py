@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from lexicrate.session import store
 
-#: Size of the trigram table, bound of labelled documents of a language, and of languages (the most frequent labels).
-TRIGRAMS, PER_LANGUAGE, LANGUAGES = 1 << 15, 1000, 128
+#: Size of the trigram table and bound of labelled documents of a language.
+TRIGRAMS, PER_LANGUAGE = 1 << 15, 1000
 #: Trigrams that a whole text counts for at most: neighbouring ones depend on each other.
 WEIGHT = 40
 #: Strength of the smoothing of host towards domain, domain towards whole, and of the conditionals.
@@ -61,26 +61,26 @@ def page_text(html: str | None) -> bytes:
 def fit_text(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages and the log probabilities of their trigrams, from up to
     PER_LANGUAGE documents of a language in hash order of their ids (rows with
-    one id are drawn together)."""
+    one id are drawn together).  Every label is a language, at 128 KB of model
+    on the driver and in each worker."""
     named = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("_id"))
-    known = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    known = named.groupBy("lang").count()
     first = Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id")
     # thinned to some four times the bound before the rows of a language meet
     thin = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < float(1 << 30) * (4 * PER_LANGUAGE) / F.col("count")
     chosen = named.join(F.broadcast(known), "lang").where(thin).withColumn("k", F.row_number().over(first)).where(F.col("k") <= PER_LANGUAGE)
-    chosen = chosen.select("_id").distinct()  # at most LANGUAGES x PER_LANGUAGE ids
+    chosen = chosen.select("_id").distinct()  # at most PER_LANGUAGE ids of a language
     rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
 
     def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(TRIGRAMS, np.int64)
         for t in pdf["text"]:
             total += np.bincount(trigrams((t or "").encode()), minlength=TRIGRAMS)
-        return pd.DataFrame({"lang": [key[0]], "counts": [total.tobytes()]})
+        p = (total + 0.5) / (total.sum() + 0.5 * TRIGRAMS)
+        return pd.DataFrame({"lang": [key[0]], "logs": [np.log(p).astype(np.float32).tobytes()]})
 
-    found = sorted(rows.where(F.col("lang").isNotNull()).groupBy("lang").applyInPandas(count, "lang string, counts binary").collect(), key=lambda r: r["lang"])
-    counts = np.array([np.frombuffer(r["counts"], np.int64) for r in found], float).reshape(len(found), TRIGRAMS)
-    p = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * TRIGRAMS)
-    return [r["lang"] for r in found], np.log(p).astype(np.float32)
+    found = sorted(rows.where(F.col("lang").isNotNull()).groupBy("lang").applyInPandas(count, "lang string, logs binary").collect(), key=lambda r: r["lang"])
+    return [r["lang"] for r in found], np.array([np.frombuffer(r["logs"], np.float32) for r in found], np.float32).reshape(len(found), TRIGRAMS)
 
 
 def text_posteriors(pages: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

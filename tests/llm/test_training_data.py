@@ -368,6 +368,20 @@ def test_language(spark):
     assert language.identify(pg.limit(0), docs).count() == 0
 
 
+def test_language_keeps_every_label(spark):
+    """140 labels, the rarest the last by name: each has a model and gets its pages."""
+    names = [f"l{i:03d}" for i in range(140)]
+    r = random.Random(9)
+    voc = {n: ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for n in names}
+    rows = [(i * 10 + k, n, " ".join(r.choices(voc[n], k=30))) for i, n in enumerate(names) for k in range(1 if n == names[-1] else 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    languages, logs = language.fit_text(docs)
+    assert languages == names and logs.shape == (140, language.TRIGRAMS)
+    pages = [(i, f"http://h{i}.example.org/", f"<p>{' '.join(r.choices(voc[names[i]], k=30))}</p>") for i in (0, 57, 128, 138, 139)]
+    got = {x.page_id: x.lang for x in language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
+    assert got == {i: names[i] for i, _, _ in pages}
+
+
 @pytest.mark.parametrize("name,label", [("op3_toxicity", "toxic"), ("op10_quality", "quality")])
 def test_classifiers_on_held_out_rows(spark, name, label):
     sf = "/root/testdata/check_s"  # the smallest table with over a thousand labels of each class
