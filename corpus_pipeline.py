@@ -30,10 +30,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the smallest id stays."""
-    groups = simhash.near_duplicates(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked fingerprints the smallest id stays; rows of one id and different texts are judged apart."""
+    groups = simhash.near_duplicates(docs, with_hash=True)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    return docs.join(gone, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

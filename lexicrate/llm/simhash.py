@@ -10,7 +10,7 @@ decoded to the indices of all codewords within four bits (one or six of them),
 and (equal segment, codeword index of the next) is a key that linked
 fingerprints share.  Candidates of a key are verified by their bit distance.
 
-Equal fingerprints are one node (its smallest id), so copies cost nothing.  A
+Equal fingerprints are one node, so copies cost nothing.  A
 key shared by few fingerprints yields its verified pairs; one shared by more
 yields a spanning forest of its verified pairs; one shared by over ``ball_above`` is
 resolved by the exact ball join instead: two fingerprints differ in at most two
@@ -59,15 +59,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed 64-bit integer)."""
+    """``doc_id, fp`` (the fingerprint as a signed 64-bit integer) and
+    ``text_hash`` (``xxhash64`` of the text)."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], ["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, fp bigint")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(
+        run, f"doc_id {id_type}, fp bigint, text_hash bigint")
 
 
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -218,14 +220,18 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, ball_above: int = BALL_
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS, seed: int = SEED, ball_above: int = BALL_ABOVE) -> DataFrame:
+                    max_bits: int = MAX_BITS, seed: int = SEED, ball_above: int = BALL_ABOVE, with_hash: bool = False) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits), ``component_id`` and
-    ``group_size`` (rows that share the fingerprint) of every row."""
+    ``group_size`` (rows that share the fingerprint) of every row, and with
+    ``with_hash`` ``text_hash``, which tells rows of one id apart."""
     fps = store(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     distinct = store(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
-    comp = components(links(distinct.where(F.col("rep").isNotNull()), max_bits, ball_above))
-    nodes = distinct.join(comp, distinct["rep"] == comp["node"], "left").select(
-        F.col("fp").alias("f"), F.coalesce("component", "rep").alias("component_id"), F.col("n").alias("group_size"))
+    # nodes are fingerprints: rows of one id and different texts may give the same smallest id
+    comp = components(links(distinct.where(F.col("rep").isNotNull()).select("fp", F.col("fp").alias("rep")), max_bits, ball_above))
+    least = comp.join(distinct, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("rep").alias("least"))
+    comp = comp.join(least, "component").select("node", "least")
+    nodes = distinct.join(comp, distinct["fp"] == comp["node"], "left").select(
+        F.col("fp").alias("f"), F.coalesce("least", "rep").alias("component_id"), F.col("n").alias("group_size"))
     return fps.join(nodes, F.col("fp") == F.col("f")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "group_size")
+        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "group_size", *(["text_hash"] if with_hash else []))

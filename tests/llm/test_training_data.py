@@ -438,6 +438,19 @@ def test_empty_tables(spark, empty, labels):
     assert embedding.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_near_copies_with_repeated_ids(spark):
+    """Of two texts with one id only the one that is linked with a smaller id goes."""
+    r = random.Random(3)
+    base = words(r, 400)
+    near = next(t for t in (base + f" end{i}" for i in range(2000)) if 0 < (simhash.fingerprint(t) ^ simhash.fingerprint(base)).bit_count() <= 2)
+    rows = [(1, base), (3, near), (3, words(r, 50)), (5, base.upper()), (5, words(r, 60)), (7, words(r, 70))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect()))
+    assert got == sorted([rows[0], rows[2], rows[4], rows[5]])
+    groups = {(x.doc_id, x.text_hash): x.component_id for x in simhash.near_duplicates(docs, with_hash=True).collect()}
+    assert sorted(groups.values()) == [1, 1, 1, 3, 5, 7]
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against brute force on the stage's own input."""
     text = lambda d: d.select("doc_id", "text", "source").collect()
