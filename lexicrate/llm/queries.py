@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash, suffixes, toxicity
+from lexicrate.llm import embedding, exact, language, mixing, packing, pii, quality, simhash, suffixes, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -78,3 +78,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_topk", topk.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
