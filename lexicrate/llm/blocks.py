@@ -31,8 +31,8 @@ BLOCK, BLOCK_BYTES, TILE, QUERIES, SUMMARIES = 512, 1 << 20, 32, 4096, 4096
 RANGE, RANGE_BYTES = 8192, 128 << 20
 #: Pivots of the order; only speed depends on them.
 PIVOTS = 512
-#: Integers beyond this saturate, so that products stay within 64 bits.
-LIMIT = 1 << 24
+#: Integers beyond this saturate, so that scores of 8192 components are exact even as doubles.
+LIMIT = 1 << 20
 NONE = np.iinfo(np.int64).min
 
 COLUMNS = "bn bigint, bg bigint, qg bigint, sg bigint, dim int, n int, queries int, rows binary, ids binary, labels binary, x binary"

@@ -12,7 +12,7 @@ is still opened, because a tie may have the smaller id.
 The bound is exact integer arithmetic, so results are exact for any data; how
 much it prunes depends on how alike the vectors of a block are.
 
-Defined results: components become floor(scale * x), beyond +-2^24 they
+Defined results: components become floor(scale * x), beyond +-2^20 they
 saturate; rows with a null id, a null vector or null or non-finite components
 take no part; vectors of different length do not meet; empty vectors score 0
 with each other; each row with a repeated id is a row of its own, and meets the
