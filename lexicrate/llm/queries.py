@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexicrate.llm import embedding, exact, language, mixing, negatives, packing, pii, quality, simhash, suffixes, topk, toxicity
+from lexicrate.llm import embedding, exact, language, mixing, negatives, packing, phrases, pii, quality, simhash, suffixes, topk, toxicity
 
 QUERIES, ORACLES = {}, {}
 
@@ -89,3 +89,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(read(spark, sf_dir, "embeddings"), label=moved)
+
+
+@query("op11_phrases", phrases.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
