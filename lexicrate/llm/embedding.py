@@ -144,7 +144,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
     v = store(v.withColumn("v", F.when(usable, F.transform("v", lambda x: x + 0.0))), "vectors")
-    nodes = v.where(F.col("v").isNotNull()).groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # a node is a vector of a label, not an id: rows that repeat an id may hold several
+    nodes = v.where(F.col("v").isNotNull()).groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes = store(nodes.withColumn("rep", F.monotonically_increasing_id()), "vector-values")
     nodes = store(nodes.withColumn("dim", F.size("v")).withColumn("h", F.pmod(F.xxhash64("rep"), F.lit(1 << 30))), "vector-nodes")
 
     total = max(1, nodes.count())
@@ -238,9 +240,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     found = store(pairs.groupBy("label", "dim", "a", "ap", "b", "bp").applyInPandas(links, f"rep {id_type}, root {id_type}, links bigint"), "part-links")
     comp = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    first = comp.join(nodes.select(F.col("rep").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    comp = comp.join(first, "component").select("node", "component_id")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     node = (nodes.join(counts, "rep", "left").join(comp, F.col("rep") == F.col("node"), "left")
-            .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
+            .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")))
     joined = v.join(node.select(F.col("label").alias("l"), F.col("v").alias("w"), "n_links", "component_id"), (F.col("label") == F.col("l")) & (F.col("v") == F.col("w")), "left")
     component = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
