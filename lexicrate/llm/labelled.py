@@ -15,6 +15,14 @@ def held_out(id_col: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that no column has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text",
            per_class: int = PER_CLASS) -> DataFrame:
     """``text, y``: up to ``per_class`` rows of each class in hash order of

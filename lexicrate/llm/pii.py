@@ -37,6 +37,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexicrate.llm.labelled import unused
+
 ROUNDS = 10
 #: The formats of the kinds.  The class of what may not touch a number keeps parts of longer numbers out.
 PATTERNS = {
@@ -285,8 +287,9 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     new = sweep(new, RUN, lambda t: _cut_cards(t, key, True))
     new = sweep(new, PATTERNS["phone"], lambda t: _cut(t, PATTERNS["phone"], key, ("phone",)))
     new = sweep(new, RUN, lambda t: _cut_cards(t, key, False))
-    out = docs.withColumn("_new", new)
-    kinds = F.filter(F.transform("_new", lambda s: s["kind"]), lambda k: k.isNotNull())
-    return (out.withColumns({text_col: F.when(F.size("_new") > 0, F.array_join(F.transform("_new", lambda s: s["text"]), "")).otherwise(text),
+    held = unused("_new", docs.columns)
+    out = docs.withColumn(held, new)
+    kinds = F.filter(F.transform(held, lambda s: s["kind"]), lambda k: k.isNotNull())
+    return (out.withColumns({text_col: F.when(F.size(held) > 0, F.array_join(F.transform(held, lambda s: s["text"]), "")).otherwise(text),
                              "kinds": F.coalesce(kinds, F.array().cast("array<string>"))})
-            .withColumn("n_replaced", F.size("kinds").cast("long")).drop("_new"))
+            .withColumn("n_replaced", F.size("kinds").cast("long")).drop(held))

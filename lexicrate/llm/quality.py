@@ -110,7 +110,8 @@ def vote(x: np.ndarray, model: dict) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` plus a double column with the score of each whole text."""
+    """``docs`` plus a double column with the score of each whole text; a column of that name is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != score_col.lower()])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{score_col}` double"

@@ -242,7 +242,8 @@ def train(texts: list[tuple[int, list[list[bytes]]]], rounds: tuple[int, ...] =
 
 
 def score(docs: DataFrame, weights: dict | float, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``docs`` plus a double column with the score of each whole text."""
+    """``docs`` plus a double column with the score of each whole text; a column of that name is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != score_col.lower()])
     if isinstance(weights, float):
         return docs.withColumn(score_col, F.lit(weights))
     shared = docs.sparkSession.sparkContext.broadcast(weights)

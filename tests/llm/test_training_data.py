@@ -202,6 +202,13 @@ def test_embedding(spark):
     assert all((x.n_links, x.component_id) == (0, x.vec_id) for i, x in got.items() if i not in {o[0] for o in ok})
 
 
+def test_embedding_with_repeated_ids(spark):
+    """Vectors that share an id are nodes of their own; so are equal vectors of two labels."""
+    rows = [(5, [1.0, 0.0, 0.0], 0), (5, [0.0, 1.0, 0.0], 0), (3, [0.0, 1.0, 0.01], 0), (7, [1.0, 0.0, 0.01], 0), (3, [1.0, 0.0, 0.0], 1), (9, [1.0, 0.0, 0.0], 1)]
+    got = embedding.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted(map(tuple, got)) == sorted([(5, 1, 5, True), (5, 1, 3, False), (3, 1, 3, True), (7, 1, 5, False), (3, 1, 3, True), (9, 1, 3, False)])
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == len(odd_rows())
@@ -382,19 +389,71 @@ def test_language_keeps_every_label(spark):
     assert got == {i: names[i] for i, _, _ in pages}
 
 
-@pytest.mark.parametrize("name,label", [("op3_toxicity", "toxic"), ("op10_quality", "quality")])
-def test_classifiers_on_held_out_rows(spark, name, label):
-    sf = "/root/testdata/check_s"  # the smallest table with over a thousand labels of each class
-    got = QUERIES[name](spark, sf)
-    y = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col(label).alias("y"))
-    rows = got.join(y, "doc_id").where("held_out").collect()
-    right = sum(x.predicted == x.y for x in rows) / len(rows)
-    assert right >= 0.98 and all(zlib.crc32(str(x.doc_id).encode()) % 3 == 1 for x in rows)
+def planted(n, seed=9):
+    """Labelled texts: toxic ones hold some insults among plain words, poor ones are chopped junk."""
+    r = random.Random(seed)
+    plain = ["".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 4))) for _ in range(600)]
+    insults = ["zgrakh" + "".join(r.choice("aeiou") for _ in range(2)) for _ in range(12)]
+    docs, labels = [], []
+    for i in range(n):
+        toxic, good = r.random() < 0.4, r.random() < 0.5
+        ws = [r.choice(plain) for _ in range(r.randint(30, 160))]
+        if toxic:
+            for _ in range(r.randint(3, 6)):
+                ws.insert(r.randrange(len(ws)), r.choice(insults))
+        text = " ".join(ws) + "." if good else " | ".join(w.upper() + str(r.randrange(99)) for w in ws)
+        docs.append((i, text))
+        labels.append((i, int(good), int(toxic)))
+    return docs, labels
+
+
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
+def test_classifiers_on_held_out_rows(spark, module, label):
+    docs, labels = planted(2400)
+    got = module.classify(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    y = {i: (q, t)[label == "toxic"] for i, q, t in labels}
+    rows = [x for x in got.collect() if x.held_out]
+    assert len(rows) > 600 and all(zlib.crc32(str(x.doc_id).encode()) % 3 == 1 for x in rows)
     for k in (0, 1):  # both classes, so that guessing the larger one fails
-        own = [x.predicted == k for x in rows if x.y == k]
+        own = [x.predicted == k for x in rows if y[x.doc_id] == k]
         assert sum(own) / len(own) >= 0.9
 
 
+def test_votes_against_plain_numpy():
+    """Every score is the similarity-weighted vote of the nearest sample rows, written out row by row."""
+    g = np.random.default_rng(1)
+    x = g.random((40, quality.TERMS)).astype(np.float32) * (g.random((40, quality.TERMS)) < 0.02)
+    z = quality.unit(g.normal(size=(90, 6)).astype(np.float32))
+    y = (g.random(90) < 0.5).astype(np.float32)
+    model = {"idf": g.random(quality.TERMS).astype(np.float32) + 1, "v": g.normal(size=(quality.TERMS, 6)).astype(np.float32), "z": z, "y": y,
+             "w": np.where(y > 0, 0.7, 1.2).astype(np.float32), "prior": 0.3}
+    x[7] = 0  # nothing known: the prior
+    got = quality.vote(x, model)
+    for i, row in enumerate(x):
+        q = (row * model["idf"]) @ model["v"]
+        q = q / np.linalg.norm(q) if np.linalg.norm(q) else q
+        near = sorted(range(90), key=lambda j: -float(q @ z[j]))[:quality.NEIGHBOURS]
+        w = [max(float(q @ z[j]), 0.0) ** quality.SHARPNESS * model["w"][j] for j in near]
+        want = sum(a * y[j] for a, j in zip(w, near)) / sum(w) if sum(w) else 0.3
+        assert abs(got[i] - want) < 1e-4
+
+
+def test_windows_against_one_by_one(spark):
+    """A text's toxicity is the highest score of its windows, each run through the network alone."""
+    net = toxicity.Network(5)
+    texts = [" ".join(f"{c}{i % 7}" for i in range(n)) for c, n in (("a", 3), ("b", toxicity.WINDOW), ("c", 2 * toxicity.WINDOW + 5), ("d", 400), ("e", 0))]
+    got = {x.text: x.score for x in toxicity.score(spark.createDataFrame([(t, 1.0) for t in texts], "text string, score double"), net.p).collect()}
+    for t in texts:
+        ws = toxicity.split(t)
+        first, size, _ = toxicity.windows(np.array([0, len(ws)]))
+        assert not len(ws) or (set(np.concatenate([np.arange(a, a + n) for a, n in zip(first, size)])) == set(range(len(ws))))
+        best = 0.0
+        for a, n in zip(first, size):
+            gates = net.gates(toxicity.describe(ws[a:a + n]))
+            best = max(best, float(net.score(gates, np.arange(n), np.array([0]), np.array([n]))[0]))
+        assert abs(got[t] - best) < 1e-5
+
+
 def test_classifiers_on_odd_rows(docs, empty, labels):
     for f, module in ((quality.classify, quality), (toxicity.classify, toxicity)):
         out = f(docs, labels).collect()
@@ -451,6 +510,27 @@ def test_near_copies_with_repeated_ids(spark):
     assert sorted(groups.values()) == [1, 1, 1, 3, 5, 7]
 
 
+CLASHES = ["_id", "_hash", "_quality", "score", "row", "_new", "h", "kept", "size", "fp"]
+
+
+def test_clashing_columns(spark):
+    """Every stage and row-wise operator keeps extra columns whatever their names."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    more = docs.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES:
+        plain, out = stage(spark, docs, SMALL), stage(spark, more, SMALL)
+        if name != "packing":
+            assert out.columns == more.columns
+            assert sorted(x.doc_id for x in out.collect()) == sorted(x.doc_id for x in plain.collect())
+            assert out.select(*CLASHES).distinct().collect() == [tuple(CLASHES)]
+        else:
+            assert out.count() == plain.count()
+    found = pii.pseudonymise(more, "k")
+    assert found.columns == [*more.columns, "kinds", "n_replaced"] and found.select("_new").distinct().collect() == [("_new",)]
+    scored = quality.score(more, quality.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet")))
+    assert sorted(scored.columns) == sorted(more.columns) and dict(scored.dtypes)["score"] == "double"
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against brute force on the stage's own input."""
     text = lambda d: d.select("doc_id", "text", "source").collect()
