@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexicrate.llm import exact, mixing, packing, quality, simhash
+from lexicrate.llm.labelled import unused
 from lexicrate.session import store
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; it learns from the labelled documents."""
     labels = spark.read.parquet(os.path.join(sf_dir, "labels.parquet"))
-    scored = quality.score(docs, quality.fit(docs, labels), score_col="_quality")
-    return scored.where(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    name = unused("_quality", docs.columns)
+    scored = quality.score(docs, quality.fit(docs, labels), score_col=name)
+    return scored.where(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the smallest id stays; rows of one id and different texts are judged apart."""
     groups = simhash.near_duplicates(docs, with_hash=True)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return docs.join(gone, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti").select(*docs.columns)
+    id_name, hash_name = unused("_id", docs.columns), unused("_hash", docs.columns)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name))
+    return docs.join(gone, (F.col("doc_id") == F.col(id_name)) & (F.xxhash64("text") == F.col(hash_name)), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
