@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Conservative defaults for a local session; a cluster submit overrides them.
 LOCAL_DEFAULTS = {
@@ -64,18 +65,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def store(df: DataFrame, name: str = "table") -> DataFrame:
+def store(df: DataFrame, name: str = "table", schema: StructType | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and return a
     DataFrame that reads it back: lineage is cut, a lost executor costs
     nothing, and later scans prune columns.  The files go when the session's
-    JVM ends."""
+    JVM ends.  ``schema`` reads columns back as another type with the same storage (ML vectors)."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
