@@ -19,15 +19,16 @@ are compared only behind the known prefix.  Equal regions come out as neighbours
 earliest go as a whole.  Different regions with one gram are also neighbours;
 their strings are compared in full and each earliest one stays.
 
-Hot grams: equal regions of a task travel once, so a passage costs a range one
-item for each run.  A gram with over ``many`` occurrences sends its strings one by one,
+Hot grams: equal regions of a run travel once, with their earliest place, so a passage costs a range one
+item for each run.  The places are rows of their own that join the outcome of their region by a digest of 128 bits;
+outcomes of hot regions are broadcast, so no task gathers the places of a passage.  A gram with over ``many`` occurrences sends its strings one by one,
 each a region of its own, so that no group of different regions needs to be held.
 Grams found often in the sample skip the hash exchange: they are known to repeat.
 
 Defined results: a null text is empty; a null id comes after all others; rows
 equal in id and text count as one document and each gets its result; rows with
 one id and different texts are ordered by a hash of the text; texts shorter
-than ``length`` lose nothing; extra columns are ignored.
+than ``length`` lose nothing; ids are integers; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,28 +40,31 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexicrate.llm.batches import slices, small_batches
 from lexicrate.session import store
 
 LENGTH, GRAM = 100, 32
 MANY = 1 << 16
-#: Starts handled at once; bytes of regions in a run; documents of the sample that places splitters and finds hot grams.
-SEGMENT, BUFFER, RUN_BYTES, SAMPLE = 1 << 20, 1 << 22, 48 << 20, 2000
+#: Starts of a text and bytes handled at once; bytes of memory of a run; documents of the sample that places splitters and finds hot grams.
+SEGMENT, BUFFER, RUN_BYTES, SAMPLE = 1 << 18, 1 << 19, 48 << 20, 2000
+#: Memory that a region and one more place of it take beside the region's bytes.
+ITEM, PLACE = 320, 180
 #: Anchors that a bucket of the hash exchange aims at, bytes that a range of the sort aims at.
 BUCKET_ANCHORS, RANGE_BYTES = 1 << 19, 16 << 20
 HOT_GRAMS = 4096
 BASE = 0x9E3779B97F4A7C15
 
 
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    n = BUFFER + SEGMENT + 4096
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for b in (BASE, pow(BASE, -1, 1 << 64)):
         p = np.full(n, b, np.uint64)
         p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
+        out.append(np.cumprod(p, dtype=np.uint64, out=p))
     return out[0], out[1]
 
 
@@ -72,7 +76,7 @@ class Anchors:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
         if self.powers is None:
-            self.powers = _powers()
+            self.powers = _powers(max(BUFFER, SEGMENT + self.length) + 1)
         out: list[list[np.ndarray]] = [[] for _ in range(5)]
         segs: list[tuple[int, int, bytes]] = []
         size = 0
@@ -98,7 +102,9 @@ class Anchors:
         x *= self.powers[0][:n]
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(x, out=sums[1:])
-        h = (sums[k:] - sums[:-k]) * self.powers[1][:n - k + 1]
+        h = sums[k:] - sums[:-k]
+        del x, sums
+        h *= self.powers[1][:n - k + 1]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
@@ -201,8 +207,16 @@ def merge(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, bytes,
             node //= 2
 
 
+def digest(key: bytes) -> tuple[int, int]:
+    """128 bits that stand for a region, as two signed numbers."""
+    d = xxhash.xxh3_128_intdigest(key)
+    return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
+
+
 class Run:
-    """Regions of one task: sorted, front-coded and cut at the splitters."""
+    """Regions of one task: sorted, front-coded and cut at the splitters.  A run
+    sends each region once, with its earliest place and how many there are; the
+    places themselves are rows of their own and meet no range."""
 
     def __init__(self, splitters: list[bytes]):
         self.splitters, self.items, self.size = splitters, {}, 0
@@ -213,9 +227,15 @@ class Run:
         places = self.items.get(key)
         if places is None:
             self.items[key] = [(doc, rank, first)]
-            self.size += len(key)
+            self.size += len(key) + ITEM
         else:
             places.append((doc, rank, first))
+            self.size += PLACE
+
+    def places(self) -> list[np.ndarray]:
+        """Region (two numbers), doc, rank, first, size of every place."""
+        keys = [(*digest(k), *p, sum(struct.unpack(">HHB", k[-5:])[:2])) for k, places in self.items.items() for p in places]
+        return list(np.array(keys, np.int64).reshape(-1, 6).T)
 
     def blobs(self) -> Iterator[tuple[int, bytes]]:
         keys = sorted(self.items)
@@ -230,11 +250,12 @@ class Run:
                 share.append(n)
                 rest.append(key[n:])
                 last = key
-            places = [self.items[key] for key in own]
-            flat = np.array([p for ps in places for p in ps], np.int64)
-            counts = pack(np.array(share), np.array([len(r) for r in rest]), np.array([len(p) for p in places]))
+            flat = np.array([min(self.items[key]) for key in own], np.int64)
+            counts = pack(np.array(share), np.array([len(r) for r in rest]), np.array([len(self.items[key]) for key in own]))
             where = pack(np.diff(flat[:, 0], prepend=0) if np.ptp(flat[:, 0]) < 1 << 62 else flat[:, 0], flat[:, 1], flat[:, 2])
             yield part, struct.pack("<?qq", bool(np.ptp(flat[:, 0]) < 1 << 62), len(counts), len(where)) + counts + where + b"".join(rest)
+
+    def clear(self) -> None:
         self.items, self.size = {}, 0
 
 
@@ -247,7 +268,6 @@ class Coded:
         self.share, self.rest, self.count = unpack(blob[at:at + n])
         doc, rank, first = unpack(blob[at + n:at + n + m])
         self.places = (np.cumsum(doc) if diffs else doc, rank, first)
-        self.ends = np.cumsum(self.count).tolist()
         self.text, self.at = blob[at + n + m:], 0
 
     def strings(self) -> Iterator[tuple[int, bytes]]:
@@ -257,31 +277,27 @@ class Coded:
             at += m
             yield n, last
 
-    def next_places(self) -> list[tuple[int, int, int]]:
-        """Places of the strings in turn."""
+    def next_place(self) -> tuple[int, tuple[int, int, int]]:
+        """Number of places and the earliest one of the strings in turn."""
         i, self.at = self.at, self.at + 1
-        a, b = self.ends[i] - int(self.count[i]), self.ends[i]
-        return list(zip(*[x[a:b].tolist() for x in self.places]))
+        return int(self.count[i]), tuple(int(x[i]) for x in self.places)
 
 
-def repeated(blobs: list[bytes], length: int, gram: int) -> Iterator[tuple[int, int, int, int]]:
-    """(doc, rank, from, to) of repeated strings of a range's runs."""
+def repeated(blobs: list[bytes], length: int, gram: int) -> Iterator[tuple]:
+    """Of a range's runs: (region, region, doc, rank, first, -1, copies) of each
+    region that has several places, with the earliest one, and (0, 0, doc, rank, from, to, 0) of strings of an earliest place that occur earlier in another region."""
     runs = [Coded(b) for b in blobs]
     group: dict[bytes, tuple[int, int, int]] = {}  # different regions with one gram: the earliest place of each
-    last, places = b"", []
+    last, copies, first_place = b"", 0, (0, 0, 0)
 
-    def close_item() -> Iterator[tuple[int, int, int, int]]:
+    def close_item() -> Iterator[tuple]:
         """All places of a region but the earliest are repeated as a whole."""
-        if places:
-            right, left, alone = struct.unpack(">HHB", last[-5:])
-            size, first = right + left, min(places)
-            for p in places:
-                if p != first:
-                    yield (*p, p[2] + size)
-            if not alone:
-                group[last] = first
-
-    def close_group() -> Iterator[tuple[int, int, int, int]]:
+        if copies > 1:
+            yield (*digest(last), *first_place, -1, copies)
+        if copies and not last[-1]:
+            group[last] = first_place
+
+    def close_group() -> Iterator[tuple]:
         if len(group) > 1:
             earliest: dict[bytes, tuple[int, int, int]] = {}
             regions = []
@@ -299,21 +315,22 @@ def repeated(blobs: list[bytes], length: int, gram: int) -> Iterator[tuple[int,
                     if earliest[text[j:j + length]] != (doc, rank, first + j):
                         if j > end:
                             if begin >= 0:
-                                yield doc, rank, first + begin, first + end
+                                yield 0, 0, doc, rank, first + begin, first + end, 0
                             begin = j
                         end = j + length
                 if begin >= 0:
-                    yield doc, rank, first + begin, first + end
+                    yield 0, 0, doc, rank, first + begin, first + end, 0
         group.clear()
 
     for n, s, r in merge([c.strings() for c in runs]):
-        if n == len(s) == len(last) and places:
-            places += runs[r].next_places()
+        more, place = runs[r].next_place()
+        if n == len(s) == len(last) and copies:
+            copies, first_place = copies + more, min(first_place, place)
             continue
         yield from close_item()
         if n < gram:
             yield from close_group()
-        last, places = s, runs[r].next_places()
+        last, copies, first_place = s, more, place
     yield from close_item()
     yield from close_group()
 
@@ -327,7 +344,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
     docs_n = texts.count()
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             own = b.column("text").to_pylist()
             t, a, _, _, h = anchors(own)
             keep = np.sort(np.random.default_rng(len(t)).permutation(len(t))[:4096]) if len(t) > 4096 else np.arange(len(t))
@@ -348,7 +365,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
-        for b in batches:
+        for b in slices(batches, "text"):
             doc, rank = b.column("doc").to_numpy(), b.column("rank").to_numpy()
             t, _, first, _, h = anchors(b.column("text").to_pylist())
             cold = ~np.isin(h, shared_hot.value[0])
@@ -373,7 +390,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
         return pd.DataFrame({"doc": doc[some], "rank": rank[some], "start": np.where(n > many, -1 - first, first)[some]})
 
     keyed = texts.mapInArrow(hashed, "bucket int, blob binary").groupBy("bucket").applyInPandas(twice, "doc bigint, rank bigint, start bigint")
-    found = store(keyed, "repeated-anchors")
+    found = store(keyed, "repeated-anchors")  # run here, so that the small batches hold
     starts = found.groupBy("doc", "rank").agg(F.collect_list("start").alias("starts"))  # as many as the text has
 
     # splitters: gram texts of the sample at equal distances; a range gets whole grams
@@ -385,14 +402,19 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
         run = Run(splitters)
         hot_now, alone_now = shared_hot.value
 
-        def flush() -> pa.RecordBatch:
-            parts, blobs = [], []
-            for p, blob in run.blobs():
-                parts.append(p)
-                blobs.append(blob)
-            return pa.RecordBatch.from_arrays([pa.array(np.array(parts, np.int32)), pa.array(blobs, pa.binary())], ["part", "blob"])
+        names = ["part", "blob", "d1", "d2", "doc", "rank", "first", "size"]
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            """The regions for the ranges, then their places."""
+            found = list(run.blobs())
+            empty = [pa.nulls(len(found), pa.int64())] * 6
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary()), *empty], names)
+            places = run.places()
+            run.clear()
+            n = len(places[0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *[pa.array(x) for x in places]], names)
 
-        for b in batches:
+        for b in slices(batches, "text"):
             doc, rank = b.column("doc").to_pylist(), b.column("rank").to_pylist()
             marked, own = b.column("starts").to_pylist(), b.column("text").to_pylist()
             t, a, first, last, h = anchors(own)
@@ -408,16 +430,33 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
                 else:
                     run.add(own[i], doc[i], rank[i], at, f, z + length, False)
                 if run.size > RUN_BYTES:
-                    yield flush()
-        yield flush()
+                    yield from flush()
+        yield from flush()
+
+    result = "d1 bigint, d2 bigint, doc bigint, rank bigint, s bigint, e bigint, copies bigint"
 
     def merged(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = np.array(list(repeated(list(pdf["blob"]), length, gram)), np.int64).reshape(-1, 4)
-        return pd.DataFrame({"doc": out[:, 0], "rank": out[:, 1], "s": out[:, 2], "e": out[:, 3]})
+        rows = np.array(list(repeated(list(pdf["blob"]), length, gram)), np.int64).reshape(-1, 7)
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in result.split(", ")])
 
     marked = texts.join(starts.hint("shuffle_hash"), ["doc", "rank"], "left").select("doc", "rank", "text", "starts")
-    spans = marked.mapInArrow(runs, "part int, blob binary").groupBy("part").applyInPandas(merged, "doc bigint, rank bigint, s bigint, e bigint")
-    return store(spans, "repeated-spans").groupBy("doc", "rank").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    sent = store(marked.mapInArrow(runs, "part int, blob binary, d1 bigint, d2 bigint, doc bigint, rank bigint, first bigint, size bigint"), "suffix-runs")
+    merging = sent.where(F.col("part").isNotNull()).select("part", "blob").groupBy("part").applyInPandas(merged, result)
+    merging = store(merging, "repeated-regions")
+
+    # the places of a region with several, but for its earliest, go as a whole.  Regions with over ``many`` places are at most
+    # a ``many``-th of all places and are broadcast, so that the places of a hot one stay where they are
+    places = sent.where(F.col("d1").isNotNull()).select("d1", "d2", "doc", "rank", "first", "size")
+    regions = merging.where("copies > 0").select(
+        "d1", "d2", F.struct(F.col("doc"), F.col("rank"), F.col("s").alias("first")).alias("least"), F.col("copies") > many)
+    regions = regions.toDF("d1", "d2", "least", "hot")
+    hot, cold = F.broadcast(regions.where("hot")), regions.where("not hot")
+    gone = places.join(hot, ["d1", "d2"], "left").withColumnRenamed("least", "hot_least")
+    rest = gone.where("hot is null").drop("hot", "hot_least").join(cold.drop("hot"), ["d1", "d2"])
+    both = gone.where("hot").select("doc", "rank", "first", "size", F.col("hot_least").alias("least")).union(rest.select("doc", "rank", "first", "size", "least"))
+    both = both.where(F.struct("doc", "rank", "first") != F.col("least")).select("doc", "rank", F.col("first").alias("s"), (F.col("first") + F.col("size")).alias("e"))
+    spans = both.union(merging.where("copies = 0").select("doc", "rank", "s", "e"))
+    return spans.groupBy("doc", "rank").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -440,11 +479,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rank = F.lit(0).cast("long") if unique else F.xxhash64(text)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), rank.alias("rank"),
                         text.cast("binary").alias("text"), F.col(id_col).alias("doc_id"))
-    spans = repeated_spans(texts.select("doc", "rank", "text"), length, gram, many)
+    with small_batches(docs.sparkSession):
+        spans = repeated_spans(texts.select("doc", "rank", "text"), length, gram, many)
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "text"):
             kept, gone = [], []
             for t, ss in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 u = united([(x["s"], x["e"]) for x in ss]) if ss else []
