@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Bytes of a batch: the JVM, Arrow and Python each hold some copies of one for every running task.
-BYTES = 8 << 20
+BYTES = 4 << 20
 
 
 @contextmanager

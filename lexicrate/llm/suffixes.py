@@ -51,6 +51,8 @@ LENGTH, GRAM = 100, 32
 MANY = 1 << 16
 #: Starts of a text and bytes handled at once; bytes of memory of a run; documents of the sample that places splitters and finds hot grams.
 SEGMENT, BUFFER, RUN_BYTES, SAMPLE = 1 << 18, 1 << 19, 48 << 20, 2000
+#: Bytes of text that a task holds at once.
+SLICE = 8 << 20
 #: Memory that a region and one more place of it take beside the region's bytes.
 ITEM, PLACE = 320, 180
 #: Anchors that a bucket of the hash exchange aims at, bytes that a range of the sort aims at.
@@ -344,7 +346,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
     docs_n = texts.count()
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             own = b.column("text").to_pylist()
             t, a, _, _, h = anchors(own)
             keep = np.sort(np.random.default_rng(len(t)).permutation(len(t))[:4096]) if len(t) > 4096 else np.arange(len(t))
@@ -365,7 +367,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.uint64(64 - (buckets.bit_length() - 1)) if buckets > 1 else None
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             doc, rank = b.column("doc").to_numpy(), b.column("rank").to_numpy()
             t, _, first, _, h = anchors(b.column("text").to_pylist())
             cold = ~np.isin(h, shared_hot.value[0])
@@ -414,7 +416,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, man
             n = len(places[0])
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *[pa.array(x) for x in places]], names)
 
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             doc, rank = b.column("doc").to_pylist(), b.column("rank").to_pylist()
             marked, own = b.column("starts").to_pylist(), b.column("text").to_pylist()
             t, a, first, last, h = anchors(own)
@@ -479,12 +481,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rank = F.lit(0).cast("long") if unique else F.xxhash64(text)
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), rank.alias("rank"),
                         text.cast("binary").alias("text"), F.col(id_col).alias("doc_id"))
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, SLICE):
         spans = repeated_spans(texts.select("doc", "rank", "text"), length, gram, many)
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             kept, gone = [], []
             for t, ss in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 u = united([(x["s"], x["e"]) for x in ss]) if ss else []
