@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexicrate.functions.text import long_fuzzy_ratio, name_key
 from lexicrate.operators.dedup import group_links, text_groups
+from lexicrate.operators.joins import attach_groups, free_name, value_digest
 from lexicrate.operators.tokens import map_values
 from lexicrate.session import materialize
 
@@ -70,21 +71,51 @@ def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col:
 
 
 def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str, text_col: str | None = None, *,
-                   threshold: float = FUZZY_THRESHOLD) -> DataFrame:
+                   threshold: float = FUZZY_THRESHOLD, closure: bool = False) -> DataFrame:
     """name_j -> name_i for pairs with ratio >= threshold.
 
-    The latest pair wins for the same name_j; self maps are dropped; no transitive
-    closure.  Columns: key, value."""
+    The latest pair wins for the same name_j; self maps are dropped.  With ``closure``
+    all names that the map connects go to the smallest of them.  Columns: key, value."""
     scored = fuzzy_name_pairs(pairs, names, id_col, name_col, text_col).where(F.col("ratio") >= threshold)
-    return (scored.groupBy(F.col("name_j").alias("key"))
-            .agg(F.max_by("name_i", "last").alias("value")))
+    found = scored.groupBy(F.col("name_j").alias("key")).agg(F.max_by("name_i", "last").alias("value"))
+    return name_closure(found) if closure else found
+
+
+def name_closure(links: DataFrame, a: str = "key", b: str = "value") -> DataFrame:
+    """One spelling for all names that links connect (D7 with closure, off by default):
+    key -> smallest name reachable, links read both ways; names that stay are left out.
+
+    Alternating large and small stars: neighbours move to the smallest name next to them,
+    round by round, until no link changes.  Each round is written to the shared folder; a
+    name with very many neighbours is split over the tasks (``attach_groups``)."""
+    edges = materialize(links.where(F.col(a) != F.col(b))
+                        .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
+
+    def hook(pairs: DataFrame) -> DataFrame:
+        """(u, v, m): each pair with the smallest v of its u."""
+        least = materialize(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        return attach_groups(pairs, F.col("u"), least, key_col="u", size_col="n", values=["m"])
+
+    def state(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+    before, now = None, state(edges)
+    while now != before:
+        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
+            edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        large = materialize(hook(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
+        met = hook(large)
+        small = met.where("v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).union(
+            met.select(F.col("u").alias("hi"), F.col("m").alias("lo")))
+        edges = materialize(small.distinct())
+        before, now = now, state(edges)
+    return edges.select(F.col("hi").alias("key"), F.col("lo").alias("value"))
 
 
 def frequency_encode(names: DataFrame, name_col: str, text_col: str) -> DataFrame:
     """Normalised frequency of each name over distinct (name, text) rows.
 
-    Columns: name, encoded.  The total is a scalar sub-query."""
-    distinct = names.select(name_col, text_col).distinct()
+    Columns: name, encoded.  Texts are told apart by digest; the total is a scalar sub-query."""
+    distinct = names.select(name_col, value_digest(text_col).alias(free_name("_digest", [name_col]))).distinct()
     total = distinct.select(F.count(F.lit(1))).scalar()
     return (distinct.groupBy(name_col).agg(F.count(F.lit(1)).alias("n"))
             .select(F.col(name_col).alias("name"), (F.col("n") / total).alias("encoded")))

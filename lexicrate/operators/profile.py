@@ -7,9 +7,12 @@ map-side partial aggregation; no operator gathers a whole group in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexicrate.operators.joins import attach_groups, free_name, row_digest, value_digest
+from lexicrate.session import materialize
+
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Type and non-null count per column (PR1), one pass over the data."""
@@ -67,20 +70,16 @@ def fill_with_min(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     return df.withColumn(out or col, F.coalesce(F.col(col), m))
 
 
-def _key(cols: list[str]) -> list[Column]:
-    return [F.col(c) for c in cols]
-
-
 def duplicate_count(df: DataFrame, cols: list[str]) -> DataFrame:
     """Number of rows that repeat an earlier row on ``cols`` (DD1)."""
-    return (df.groupBy(*_key(cols)).agg(F.count(F.lit(1)).alias("n"))
+    return (df.groupBy(row_digest(cols).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
             .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("n_duplicates")))
 
 
 def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Groups of rows equal on ``cols`` with more than one member: key columns,
-    group size and first row id are produced by one partial aggregation."""
-    return (df.groupBy(*_key(cols))
+    """Groups of rows equal on ``cols`` (NULL equals NULL) with more than one member:
+    digest of the key and group size, from one partial aggregation that moves no key column."""
+    return (df.groupBy(row_digest(cols).alias("digest"))
             .agg(F.count(F.lit(1)).alias("group_size"))
             .where(F.col("group_size") > 1))
 
@@ -88,12 +87,10 @@ def duplicate_groups(df: DataFrame, cols: list[str]) -> DataFrame:
 def duplicate_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     """Every member of a duplicate group (DD2), with the group size.
 
-    Groups are found by aggregation and joined back on the key; a hot key is
-    one row on the group side, so adaptive skew handling splits the other side."""
-    groups = duplicate_groups(df, cols)
-    groups = groups.select(*[F.col(c).alias(f"_g_{c}") for c in cols], "group_size")
-    cond = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in cols]
-    return df.join(groups, cond, "inner").select(*df.columns, "group_size")
+    The groups are written once and joined back on the digest of the key; rows of a
+    hot group are spread over the tasks (``attach_groups``)."""
+    return attach_groups(df, row_digest(cols), materialize(duplicate_groups(df, cols)),
+                         key_col="digest", size_col="group_size", values=["group_size"])
 
 
 def drop_duplicates_first(df: DataFrame, cols: list[str], order_col: str) -> DataFrame:
@@ -101,13 +98,15 @@ def drop_duplicates_first(df: DataFrame, cols: list[str], order_col: str) -> Dat
 
     ``min`` is combined map-side, so a group holding a third of the data costs
     one row per task in the shuffle; the kept ids are joined back."""
-    keep = df.groupBy(*_key(cols)).agg(F.min(order_col).alias(order_col))
+    keep = df.groupBy(row_digest(cols).alias(free_name("_digest", df.columns))).agg(F.min(order_col).alias(order_col))
     return df.join(keep.select(order_col), order_col, "left_semi")
 
 
 def conflicting_duplicates(df: DataFrame, key: str, target: str) -> DataFrame:
-    """Rows whose ``key`` carries more than one distinct non-null ``target``."""
-    bad = (df.where(F.col(target).isNotNull())
-           .groupBy(key).agg(F.count_distinct(target).alias("n_targets"))
+    """Rows whose ``key`` carries more than one distinct non-null ``target`` (D1), with
+    ``n_targets``; a NULL key is no key.  The key itself is never shuffled as a key."""
+    bad = (df.where(F.col(target).isNotNull() & F.col(key).isNotNull())
+           .groupBy(value_digest(key).alias("digest"), F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("digest").agg(F.count(F.lit(1)).alias("n_targets"), F.sum("n").alias("n_rows"))
            .where(F.col("n_targets") > 1))
-    return df.join(bad, key, "inner")
+    return attach_groups(df, value_digest(key), materialize(bad), key_col="digest", size_col="n_rows", values=["n_targets"])
