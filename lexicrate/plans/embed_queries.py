@@ -45,6 +45,37 @@ def chunk_text(spark, sf):
     return _chunks(spark, sf).select("doc_id", "chunk_no", "n_chars", F.md5("chunk").alias("chunk_md5"))
 
 
+_SIZE, _OVERLAP = EM.CHUNK_SIZE, EM.CHUNK_OVERLAP
+# Units, the last unit that fits behind each unit, the unit where the next chunk begins, then the chain of chunks.
+_GREEDY_SQL = f"""
+ul AS (SELECT doc_id, text, flatten(list_transform(regexp_extract_all(coalesce(text, ''), '{EM.SENTENCE_UNIT}'), lambda s:
+         CASE WHEN length(s) <= {_SIZE} THEN [length(s)]
+              ELSE flatten(list_transform(regexp_extract_all(s, '{EM.WORD_UNIT}'), lambda w:
+                   list_transform(range(0, length(w), {_SIZE}), lambda k: least({_SIZE}, length(w) - k)))) END)) AS lens
+       FROM documents),
+uu AS (SELECT doc_id, unnest(lens) AS len, generate_subscripts(lens, 1) AS i FROM ul),
+u AS (SELECT doc_id, i, e - len AS s, e FROM (SELECT doc_id, i, len,
+        (sum(len) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS e FROM uu)),
+fits AS (SELECT u.doc_id, u.i, u.s, v.e, v.i AS j FROM u ASOF JOIN u v ON u.doc_id = v.doc_id AND u.s + {_SIZE} >= v.e),
+need AS (SELECT f.doc_id, f.i, f.s, f.e, greatest(f.e - {_OVERLAP}, w.e - {_SIZE}) AS b
+         FROM fits f LEFT JOIN u w ON w.doc_id = f.doc_id AND w.i = f.j + 1),
+step AS (SELECT n.doc_id, n.i, n.s, n.e, k.i AS next FROM need n ASOF LEFT JOIN u k ON n.doc_id = k.doc_id AND n.b <= k.s),
+chain AS (SELECT doc_id, 0::BIGINT AS chunk_no, s, e, next FROM step WHERE i = 1
+          UNION ALL SELECT c.doc_id, c.chunk_no + 1, t.s, t.e, t.next FROM chain c JOIN step t ON t.doc_id = c.doc_id AND t.i = c.next)
+"""
+
+
+@query("chunk_greedy", oracle=f"""
+WITH RECURSIVE {_GREEDY_SQL}
+SELECT c.doc_id, c.chunk_no, c.s::BIGINT AS start, (c.e - c.s)::BIGINT AS n_chars,
+       md5(substr(d.text, c.s + 1, c.e - c.s)) AS chunk_md5
+FROM chain c JOIN documents d ON d.doc_id = c.doc_id
+""")
+def chunk_greedy(spark, sf):
+    return EM.chunk_greedy(table(spark, sf, "documents"), "doc_id", "text").select(
+        "doc_id", "chunk_no", "start", "n_chars", F.md5("chunk").alias("chunk_md5"))
+
+
 def _encoded(spark, sf):
     return EM.hash_encode(_chunks(spark, sf))
 
