@@ -57,7 +57,7 @@ uu AS (SELECT doc_id, unnest(lens) AS len, generate_subscripts(lens, 1) AS i FRO
 u AS (SELECT doc_id, i, e - len AS s, e FROM (SELECT doc_id, i, len,
         (sum(len) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS e FROM uu)),
 fits AS (SELECT u.doc_id, u.i, u.s, v.e, v.i AS j FROM u ASOF JOIN u v ON u.doc_id = v.doc_id AND u.s + {_SIZE} >= v.e),
-need AS (SELECT f.doc_id, f.i, f.s, f.e, greatest(f.e - {_OVERLAP}, w.e - {_SIZE}) AS b
+need AS (SELECT f.doc_id, f.i, f.s, f.e, CASE WHEN w.e IS NOT NULL THEN greatest(f.e - {_OVERLAP}, w.e - {_SIZE}) END AS b
          FROM fits f LEFT JOIN u w ON w.doc_id = f.doc_id AND w.i = f.j + 1),
 step AS (SELECT n.doc_id, n.i, n.s, n.e, k.i AS next FROM need n ASOF LEFT JOIN u k ON n.doc_id = k.doc_id AND n.b <= k.s),
 chain AS (SELECT doc_id, 0::BIGINT AS chunk_no, s, e, next FROM step WHERE i = 1

@@ -22,6 +22,10 @@ def _ratios(spark, sf):
     return K.log_ratios(_docs(spark, sf), label_col="lang", tokens_col="tokens")
 
 
+def _sparse(spark, sf):
+    return K.sparse_ratios(_docs(spark, sf), label_col="lang", tokens_col="tokens")
+
+
 # Shared oracle CTEs: K1 counts, class totals, K2 ratios over the whole vocabulary.
 _RATIOS_SQL = f"""
 docs AS (SELECT doc_id, lang, {S.word_tokens('text')} AS toks FROM documents),
@@ -94,7 +98,7 @@ WITH {_RATIOS_SQL}, {_grid_sql(K.SCREE_STEP, K.DEFAULT_MAX_THRESHOLD)}
 SELECT lang, idx, round(threshold, 6) AS threshold, n_tokens FROM counts
 """)
 def scree_counts(spark, sf):
-    c = K.threshold_counts(_ratios(spark, sf), max_threshold=K.DEFAULT_MAX_THRESHOLD,
+    c = K.threshold_counts(_sparse(spark, sf), max_threshold=K.DEFAULT_MAX_THRESHOLD,
                            step=K.SCREE_STEP)
     return c.select(F.col("label").alias("lang"), F.col("idx").cast("long").alias("idx"),
                     F.round("threshold", 6).alias("threshold"),
@@ -111,4 +115,4 @@ SELECT DISTINCT r.token FROM ratios r JOIN best b ON r.lang = b.lang
 WHERE round(abs(r.log_ratio), 9) >= round(b.threshold, 9)
 """)
 def keyness_selection(spark, sf):
-    return K.feature_selection(_ratios(spark, sf), n=SELECT_N)
+    return K.feature_selection(_sparse(spark, sf), n=SELECT_N)
