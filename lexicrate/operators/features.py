@@ -83,10 +83,14 @@ def one_hot(df: DataFrame, col: str, *, out: str = "onehot"):
     unseen values (FE5).  Returns (DataFrame with ``{col}_idx`` and ``out``, models)."""
     si = StringIndexer(inputCol=col, outputCol=f"{col}_idx", stringOrderType="alphabetAsc",
                        handleInvalid="keep").fit(df)
+    idx = f"{col}_idx"
+    # codes without the values' names, which may not be empty: an empty text is a value like any other
+    coded = {"ml_attr": {"type": "nominal", "name": idx, "num_vals": len(si.labels) + 1}}
     indexed = si.transform(df)
+    indexed = indexed.withColumn(idx, F.col(idx).alias(idx, metadata=coded))
     # the indexer already gives unseen values their own index, so the encoder
     # needs no extra slot of its own
-    ohe = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[out], dropLast=False).fit(indexed)
+    ohe = OneHotEncoder(inputCols=[idx], outputCols=[out], dropLast=False).fit(indexed)
     return ohe.transform(indexed), (si, ohe)
 
 

@@ -19,6 +19,8 @@ STAT_COLUMNS = ["num_tokens_per_doc", "num_sentences_per_doc", "avg_sentence_len
                 "avg_doc_length", "num_chars_per_doc", "sentence_length_variance"]
 # The four statistics the reference draws as histograms and box plots.
 PLOTTED_STATS = STAT_COLUMNS[:4]
+# A kernel is added to grid points up to this many bandwidths away.
+REACH = 8
 
 
 def text_statistics(df: DataFrame, text_col: str, *, keep: list[str] | None = None) -> DataFrame:
@@ -94,8 +96,10 @@ def density(long: DataFrame, *, points: int = 200, bins: int | None = None) -> D
     """Gaussian kernel density on a ``points`` grid per statistic (TS4).
 
     Equal values are counted first; each distinct value then adds its kernel to the
-    grid points, and the sums are combined before the shuffle.  The grids (one row per
-    statistic) are a scalar sub-query.  ``bins`` replaces the values by that many bin
+    grid points within ``REACH`` bandwidths (beyond, a kernel is below 1.3e-14 of its
+    peak), and the sums are combined before the shuffle.  Bandwidths shrink as rows grow,
+    so a value touches ever fewer points.  The grids (one row per statistic) are a scalar
+    sub-query.  A grid point that no value reaches has density 0.  ``bins`` replaces the values by that many bin
     centres per statistic, an approximation for statistics with very many distinct
     values.  Bandwidth: Scott's rule."""
     summ = long.where(F.col("value").isNotNull()).groupBy("stat").agg(
@@ -109,13 +113,18 @@ def density(long: DataFrame, *, points: int = 200, bins: int | None = None) -> D
     if bins is not None:
         b = F.least(F.floor((F.col("value") - F.col("g.lo")) / F.greatest(span, F.lit(1e-12)) * bins), F.lit(bins - 1))
         weighted = weighted.withColumn("value", F.col("g.lo") + (b + 0.5) * F.greatest(span, F.lit(1e-12)) / bins)
-    at = weighted.select("stat", "value", "weight", "g", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    # grid places of value - reach and value + reach; all points lie at one place when the span is 0
+    place = lambda v: F.when(span > 0, (v - F.col("g.lo")) / span * (points - 1))
+    first = F.greatest(F.ceil(F.coalesce(place(F.col("value") - REACH * F.col("g.h")), F.lit(0.0))), F.lit(0)).cast("int")
+    last = F.least(F.floor(F.coalesce(place(F.col("value") + REACH * F.col("g.h")), F.lit(points - 1.0))), F.lit(points - 1)).cast("int")
+    at = weighted.select("stat", "value", "weight", "g", F.explode(F.when(first <= last, F.sequence(first, last))).alias("i"))
     x = F.col("g.lo") + span * F.col("i") / (points - 1)
     z = (x - F.col("value")) / F.col("g.h")
-    return (at.groupBy("stat", "i").agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("s"))
-            .withColumn("g", grids[F.col("stat")])
+    sums = at.groupBy("stat", "i").agg(F.sum(F.col("weight") * F.exp(-0.5 * z * z)).alias("s"))
+    grid = summ.select("stat", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    return (grid.join(sums, ["stat", "i"], "left").withColumn("g", grids[F.col("stat")])
             .select("stat", x.alias("x"),
-                    (F.col("s") / (F.col("g.n_obs") * F.col("g.h") * math.sqrt(2 * math.pi))).alias("density")))
+                    (F.coalesce("s", F.lit(0.0)) / (F.col("g.n_obs") * F.col("g.h") * math.sqrt(2 * math.pi))).alias("density")))
 
 
 def box_summary(long: DataFrame, *, by: list[str] | None = None) -> DataFrame:

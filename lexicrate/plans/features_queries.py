@@ -68,10 +68,11 @@ SELECT doc_id, source, (dense_rank() OVER (ORDER BY source) - 1)::BIGINT AS sour
 FROM documents
 """)
 def one_hot(spark, sf):
-    d, _ = FE.one_hot(_docs(spark, sf).select("doc_id", "source"), "source", out="oh")
-    vec = F.from_json(F.to_json(F.struct("oh")), "oh struct<size: long, indices: array<long>>")["oh"]
-    return d.select("doc_id", "source", F.col("source_idx").cast("long").alias("source_idx"),
-                    vec["size"].alias("onehot_size"), vec["indices"][0].alias("onehot_pos"))
+    """The code column is the place of the one in the vector; the encoder's model has its width."""
+    d, (_, encoder) = FE.one_hot(_docs(spark, sf).select("doc_id", "source"), "source", out="oh")
+    code = F.col("source_idx").cast("long")
+    return d.select("doc_id", "source", code.alias("source_idx"),
+                    F.lit(encoder.categorySizes[0]).cast("long").alias("onehot_size"), code.alias("onehot_pos"))
 
 
 def _grams_sql(x: str) -> str:

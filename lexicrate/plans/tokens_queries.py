@@ -9,7 +9,7 @@ from lexicrate.functions.text import word_tokens
 from lexicrate.operators import keyness as K
 from lexicrate.operators import tokens as T
 from lexicrate.plans import sql as S
-from lexicrate.plans.keyness_queries import SELECT_N, _RATIOS_SQL, _grid_sql, _ratios
+from lexicrate.plans.keyness_queries import SELECT_N, _RATIOS_SQL, _grid_sql, _sparse
 from lexicrate.plans.registry import query
 from lexicrate.tables import table
 
@@ -132,7 +132,7 @@ kept AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM t
 SELECT d.doc_id, coalesce(k.s, '') AS selected FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """)
 def select_tokens(spark, sf):
-    vocab = K.feature_selection(_ratios(spark, sf), n=SELECT_N)
+    vocab = K.feature_selection(_sparse(spark, sf), n=SELECT_N)
     return T.select_tokens(_docs(spark, sf), "doc_id", "tokens", vocab).select("doc_id", "selected")
 
 

@@ -1,3 +1,6 @@
+import math
+
+import pytest
 from pyspark.sql import functions as F
 
 from lexicrate.operators import evaluate as EV
@@ -69,3 +72,33 @@ def test_append_phrases_join(spark):
     ph = spark.createDataFrame([("new york",)], "phrase string")
     got = {r.id: sorted(r.with_phrases) for r in TK.append_phrases_join(df, "id", "toks", ph).collect()}
     assert got == {1: ["city", "new", "newyork", "york"], 2: ["new", "york"], 3: []}
+
+
+def test_one_hot_vector_has_its_one_at_the_code(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("a",), ("",)], "source string")
+    out, (_, encoder) = FE.one_hot(df, "source", out="oh")
+    for r in out.collect():
+        assert r.oh.size == encoder.categorySizes[0] == 4
+        assert list(r.oh.indices) == [int(r.source_idx)] and list(r.oh.values) == [1.0]
+
+
+def test_density_equals_the_whole_sum(spark):
+    values = {"spread": [0.0, 1.0, 1.0, 2.5, 1000.0] + [2.0] * 3000, "one": [3.0] * 4, "pair": [1.0, 2.0, None]}
+    long = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "stat string, value double")
+    got = {}
+    for r in TS.density(long, points=50).collect():
+        got.setdefault(r.stat, []).append((r.x, r.density))
+    for stat, vs in values.items():
+        vs = [v for v in vs if v is not None]
+        n, mean = len(vs), sum(vs) / len(vs)
+        sd = math.sqrt(sum((v - mean) ** 2 for v in vs) / (n - 1))
+        h = max(sd * n ** -0.2, 1e-9)
+        lo, hi = min(vs), max(vs)
+        want = []
+        for i in range(50):
+            x = lo + (hi - lo) * i / 49
+            want.append((x, sum(math.exp(-0.5 * ((x - v) / h) ** 2) for v in vs) / (n * h * math.sqrt(2 * math.pi))))
+        have = sorted(got[stat])
+        assert len(have) == 50
+        assert all(a[0] == pytest.approx(b[0]) and a[1] == pytest.approx(b[1], rel=1e-9, abs=1e-12) for a, b in zip(have, want))
+    assert any(d == 0 for _, d in got["spread"])
