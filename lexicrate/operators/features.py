@@ -113,6 +113,21 @@ def similarity_encode(values: DataFrame, col: str, categories: DataFrame, cat_co
                      jaccard(F.col("grams"), F.col("c.grams")).alias("similarity"))
 
 
+def similarity_pairs(values: DataFrame, col: str, categories: DataFrame, cat_col: str,
+                     *, n_min: int = 2, n_max: int = 4) -> DataFrame:
+    """The similarities of ``similarity_encode`` that are not zero: value, category, similarity.
+
+    An inverted index: distinct values and categories meet on their n-grams, shared grams
+    are counted, and the sizes give the Jaccard.  A pair without a shared gram has
+    similarity 0 and no row; no list of categories is gathered, so they may be many."""
+    def side(df: DataFrame, name: str, alias: str) -> DataFrame:
+        grams = df.select(F.col(name).alias(alias)).distinct().select(alias, char_ngrams(alias, n_min, n_max).alias("g"))
+        return grams.select(alias, F.size("g").alias(f"n_{alias}"), F.explode("g").alias("gram"))
+    met = side(values, col, "value").join(side(categories.where(F.col(cat_col).isNotNull()), cat_col, "category"), "gram")
+    shared = met.groupBy("value", "n_value", "category", "n_category").agg(F.count(F.lit(1)).alias("both"))
+    return shared.select("value", "category", (F.col("both") / (F.col("n_value") + F.col("n_category") - F.col("both"))).alias("similarity"))
+
+
 def feature_union(blocks: dict[str, DataFrame], id_col: str) -> DataFrame:
     """Feature blocks as one sparse long table (FE7): id, block, name, value.
 

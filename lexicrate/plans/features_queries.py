@@ -164,6 +164,18 @@ sims AS (SELECT a.value, b.value AS category, len(list_intersect(a.g, b.g))
 """
 
 
+@query("similarity_pairs", oracle=f"""
+WITH v AS (SELECT value, {_grams_sql('value')} AS g FROM (SELECT DISTINCT p_name AS value FROM part)),
+c AS (SELECT category, {_grams_sql('category')} AS g FROM (SELECT DISTINCT n_name AS category FROM nation)),
+m AS (SELECT value, category, len(v.g) + len(c.g) AS total, len(list_intersect(v.g, c.g)) AS common FROM v, c)
+SELECT value, category, round(common / (total - common), 6) AS similarity FROM m WHERE common > 0
+""")
+def similarity_pairs(spark, sf):
+    """Each part name's similarity to the countries it shares an n-gram with (FE6, sparse form)."""
+    out = FE.similarity_pairs(table(spark, sf, "part"), "p_name", table(spark, sf, "nation"), "n_name")
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("assemble_features", oracle=f"""
 WITH {_tfidf_sql('ti', _TITLE_VT)}, {_tfidf_sql('de', _VT)}, {_SIMILARITY_SQL},
 fr AS (SELECT source, count(*) / (SELECT count(*) FROM documents) AS share FROM documents GROUP BY source)
@@ -185,7 +197,7 @@ def assemble_features(spark, sf):
     def tfidf(text):
         t = FE.tfidf_long(d.select("doc_id", vector_tokens(text).alias("tokens")), "doc_id", "tokens")
         return t.select("doc_id", F.col("term").alias("name"), F.col("weight").alias("value"))
-    sim = (FE.similarity_encode(d, "source", d, "source").where(F.col("similarity") > 0).groupBy("value")
+    sim = (FE.similarity_pairs(d, "source", d, "source").groupBy("value")
            .agg(F.collect_list(F.struct("category", "similarity")).alias("sims")))
     similar = (docs.join(sim, docs["source"].eqNullSafe(sim["value"])).select("doc_id", F.explode("sims").alias("s"))
                .select("doc_id", F.col("s.category").alias("name"), F.col("s.similarity").alias("value")))

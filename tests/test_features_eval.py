@@ -102,3 +102,13 @@ def test_density_equals_the_whole_sum(spark):
         assert len(have) == 50
         assert all(a[0] == pytest.approx(b[0]) and a[1] == pytest.approx(b[1], rel=1e-9, abs=1e-12) for a, b in zip(have, want))
     assert any(d == 0 for _, d in got["spread"])
+
+
+def test_similarity_pairs_are_the_ones_that_are_not_zero(spark):
+    values = spark.createDataFrame([("American",), ("Amer",), ("",), (None,), ("a",), ("American",), ("Hong Kong",)], "v string")
+    cats = spark.createDataFrame([("American",), ("american film",), (None,), ("x",), ("",)], "c string")
+    dense = FE.similarity_encode(values, "v", cats, "c").where("similarity > 0").collect()
+    pairs = FE.similarity_pairs(values, "v", cats, "c").collect()
+    assert len(dense) == len(pairs)
+    assert {(r.value, r.category): r.similarity for r in dense} == {(r.value, r.category): r.similarity for r in pairs}
+    assert FE.similarity_pairs(values.limit(0), "v", cats, "c").count() == 0
