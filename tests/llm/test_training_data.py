@@ -375,6 +375,43 @@ def test_language(spark):
     assert language.identify(pg.limit(0), docs).count() == 0
 
 
+def test_language_posterior_equals_plain_numpy(spark):
+    r, rows, pages = random.Random(9), [], []
+    voc = {"en": "the of and with water".split(), "de": "der und nicht wasser zeit".split(), "fr": "le des eau avec temps".split()}
+    for i in range(90):
+        lang = list(voc)[i % 3]
+        rows.append((i, lang, " ".join(r.choices(voc[lang], k=30))))
+        declared = r.choice(["", f" lang='{lang}'", " lang='fr'"])
+        pages.append((i, f"http://{r.choice('abc')}.site{i % 7}.{r.choice(['de', 'com', 'fr'])}/p", f"<html{declared}><p>{' '.join(r.choices(voc[lang], k=i % 3))}</p></html>"))
+    pages += [(90, None, None), (91, "nonsense", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    pg = spark.createDataFrame(pages, "page_id long, url string, html string")
+    names, logs = language.fit_text(docs)
+    seen = language.text_posteriors(pg, (names, logs), "page_id", "url", "html").collect()
+    whole = 1 + sum(np.array(x.p) for x in seen)
+
+    def count(**by):
+        return sum((np.array(x.p) for x in seen if all(x[k] == v for k, v in by.items())), np.zeros(len(names)))
+
+    def prior(counts, own, towards, strength):
+        rest = np.maximum(counts - own, 0)
+        return (rest + strength * towards) / (rest.sum() + strength)
+
+    def given(column, value):
+        c = count(**{column: value})
+        return (c + language.CONDITIONAL * c.sum() / whole.sum()) / (whole + language.CONDITIONAL)
+    got = {x.page_id: x for x in language.identify(pg, docs).collect()}
+    assert len(seen) == len(got) == len(pages)
+    for x in seen:
+        own = np.array(x.p)
+        domain = prior(count(domain=x.domain), own, whole / whole.sum(), language.DOMAIN)
+        host = prior(count(host=x.host), own, domain, language.HOST)
+        post = np.array(x.ll) + np.log(host) + np.log(given("declared", x.declared)) + .5 * np.log(given("suffix", x.suffix))
+        share = np.exp(post - post.max())
+        assert abs(got[x.page_id].score - 1 / share.sum()) < 1e-9
+        assert got[x.page_id].lang == names[int(post.argmax())] or np.sort(post)[-1] - np.sort(post)[-2] < 1e-9
+
+
 def test_language_keeps_every_label(spark):
     """140 labels, the rarest the last by name: each has a model and gets its pages."""
     names = [f"l{i:03d}" for i in range(140)]
