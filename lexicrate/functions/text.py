@@ -144,6 +144,15 @@ def long_fuzzy_ratio(a: Column | str, b: Column | str) -> Column:
     return F.pandas_udf(_ratio, "double")(_c(a), _c(b))
 
 
+def ratio_bound(a: Column | str, b: Column | str) -> Column:
+    """No less than ``long_fuzzy_ratio``, without Python: a common subsequence holds only
+    characters that both names have, so the characters of either that the other lacks do not count."""
+    a, b = _c(a), _c(b)
+    total = F.length(a) + F.length(b)
+    shared = F.least(*[F.length(x) - F.length(F.call_function("translate", x, y, F.lit(""))) for x, y in ((a, b), (b, a))])
+    return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * shared / total)
+
+
 def char_ngrams(col: Column | str, n_min: int = 2, n_max: int = 4) -> Column:
     """Distinct character n-grams (n_min..n_max) of the lower-cased value
     padded with one space each side."""

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexicrate.functions.text import long_fuzzy_ratio, name_key
+from lexicrate.functions.text import long_fuzzy_ratio, ratio_bound, name_key
 from lexicrate.operators.dedup import group_links, text_groups
 from lexicrate.operators.joins import attach_groups, free_name, value_digest
 from lexicrate.operators.tokens import map_values
@@ -44,14 +44,15 @@ def explode_names(df: DataFrame, *, id_col: str, names_col: str, source: str,
 
 
 def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str,
-                     text_col: str | None = None) -> DataFrame:
+                     text_col: str | None = None, *, at_least: float = 0.0) -> DataFrame:
     """Ratio of each ordered pair of different names that similar rows carry.
 
     ``names`` has one row per row and name.  Names of all copies of a text are
     compared, also with each other; without ``text_col`` each id is a text of its own.
     The earlier (first id, name) is name_i.  Columns: name_i, name_j, ratio, last (the
     place of the latest such pair).  Name sets are reduced to distinct names per text
-    first, and the ratio runs once per distinct pair of names."""
+    first, and the ratio runs once per distinct pair of names.  Pairs below ``at_least`` are
+left out; ``ratio_bound`` drops most of these before any reaches Python."""
     if text_col is None:
         groups = (names.select(F.col(id_col).alias("rep"), F.lit(name_col).alias("column"),
                                F.col(name_col).cast("string").alias("value"), F.col(id_col).alias("first_id")).distinct())
@@ -65,9 +66,12 @@ def fuzzy_name_pairs(pairs: DataFrame, names: DataFrame, id_col: str, name_col:
     met = (links.join(side("i"), "id_i").join(side("j"), "id_j")
            .where((F.col("i.value") != F.col("j.value")) & ((F.col("id_i") < F.col("id_j")) | (F.col("i") < F.col("j")))))
     ordered = met.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-    return (ordered.groupBy(F.col("i.value").alias("name_i"), F.col("j.value").alias("name_j"))
-            .agg(F.max(F.struct("i", "j")).alias("last"))
-            .select("name_i", "name_j", long_fuzzy_ratio("name_i", "name_j").alias("ratio"), "last"))
+    met = (ordered.groupBy(F.col("i.value").alias("name_i"), F.col("j.value").alias("name_j"))
+           .agg(F.max(F.struct("i", "j")).alias("last")))
+    if at_least > 0:
+        met = met.where(ratio_bound("name_i", "name_j") >= at_least)
+    scored = met.select("name_i", "name_j", long_fuzzy_ratio("name_i", "name_j").alias("ratio"), "last")
+    return scored.where(F.col("ratio") >= at_least) if at_least > 0 else scored
 
 
 def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: str, text_col: str | None = None, *,
@@ -76,7 +80,7 @@ def fuzzy_name_map(pairs: DataFrame, names: DataFrame, id_col: str, name_col: st
 
     The latest pair wins for the same name_j; self maps are dropped.  With ``closure``
     all names that the map connects go to the smallest of them.  Columns: key, value."""
-    scored = fuzzy_name_pairs(pairs, names, id_col, name_col, text_col).where(F.col("ratio") >= threshold)
+    scored = fuzzy_name_pairs(pairs, names, id_col, name_col, text_col, at_least=threshold)
     found = scored.groupBy(F.col("name_j").alias("key")).agg(F.max_by("name_i", "last").alias("value"))
     return name_closure(found) if closure else found
 

@@ -45,3 +45,14 @@ def test_token_set_and_jaccard(spark):
     got = [r[0] for r in df.select(T.jaccard(T.token_set("a"), T.token_set("b"))).collect()]
     assert got[0] == pytest.approx(4 / 6)
     assert got[1] == 0.0
+
+
+def test_ratio_bound_is_never_below_the_ratio(spark):
+    import random
+
+    from lexicrate.functions.text import long_fuzzy_ratio, ratio_bound
+    r = random.Random(11)
+    rows = [("".join(r.choices("abcde é\U0001f600%", k=r.randint(0, 9))), "".join(r.choices("abdxyz é\U0001f600_", k=r.randint(0, 9)))) for _ in range(600)]
+    got = spark.createDataFrame(rows, "a string, b string").select(long_fuzzy_ratio("a", "b").alias("ratio"), ratio_bound("a", "b").alias("bound")).collect()
+    assert all(x.bound >= x.ratio for x in got) and sum(x.bound < 60 for x in got) > 100
+    assert spark.sql("SELECT 'abc' a, 'cba' b").select(ratio_bound("a", "b")).first()[0] == 100.0
