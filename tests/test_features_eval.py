@@ -112,3 +112,20 @@ def test_similarity_pairs_are_the_ones_that_are_not_zero(spark):
     assert len(dense) == len(pairs)
     assert {(r.value, r.category): r.similarity for r in dense} == {(r.value, r.category): r.similarity for r in pairs}
     assert FE.similarity_pairs(values.limit(0), "v", cats, "c").count() == 0
+
+
+def test_tfidf_moves_rows_as_lists_and_finds_rare_terms(spark, monkeypatch):
+    monkeypatch.setattr(FE, "BROADCAST_TERMS", 2, raising=False)  # most terms go by the join
+    docs = [(1, ["a", "b", "b"]), (2, ["a", None, "c"]), (3, []), (4, None), (5, ["a", "b", "d"]), (5, ["d", "e"]), (None, ["a", "z"])]
+    df = spark.createDataFrame(docs, "id int, toks array<string>")
+    out = FE.tfidf_long(df, "id", "toks")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.term): (r.tf, r.weight) for r in out.collect()}
+    counts = {1: {"a": 1, "b": 2}, 2: {"a": 1, "c": 1}, 5: {"a": 1, "b": 1, "d": 2, "e": 1}}
+    seen = {"a": 4, "b": 2, "c": 1, "d": 1, "e": 1}
+    raw = {(i, t): n * (math.log((len(docs) + 1) / (seen[t] + 1)) + 1) for i, c in counts.items() for t, n in c.items()}
+    norm = {i: math.sqrt(sum(v * v for (j, _), v in raw.items() if j == i)) for i in counts}
+    assert set(got) == set(raw)
+    assert all(got[k][0] == counts[k[0]][k[1]] and abs(got[k][1] - raw[k] / norm[k[0]]) < 1e-12 for k in raw)
+    assert plan.count("Exchange hashpartitioning") <= 4
+    assert [r.id for r in FE.tfidf_long(df, "id", "toks", only_ids=df.where("id = 2")).select("id").distinct().collect()] == [2]
