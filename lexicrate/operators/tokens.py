@@ -42,8 +42,9 @@ def lexicon_normalise(df: DataFrame, tokens_col: str, lexicon, *, out: str = "to
     ``(token, replacement)`` joined on the token.  NULL tokens stay NULL in both."""
     if isinstance(lexicon, dict):
         m = F.create_map(*[F.lit(x) for kv in sorted(lexicon.items()) for x in kv])
-        repl = F.transform(F.col(tokens_col),
-                           lambda t: F.split(F.coalesce(F.try_element_at(m, t), t), " "))
+        # most tokens have no entry and no space: one look into a hash set, no walk through the map and no split
+        repl = F.transform(F.col(tokens_col), lambda t: F.when(t.isin(*lexicon), F.split(F.coalesce(F.try_element_at(m, t), t), " "))
+                           .when(t.contains(" "), F.split(t, " ")).when(t.isNotNull(), F.array(t)))
         return df.withColumn(out, F.flatten(repl))
     if id_col is None:
         raise ValueError("a lexicon table needs id_col to rebuild rows")
@@ -56,9 +57,9 @@ def lexicon_normalise(df: DataFrame, tokens_col: str, lexicon, *, out: str = "to
 
 
 def remove_stopwords(tokens, stopwords: list[str]):
-    """Column: tokens without the given stop words (T4)."""
-    stop = F.array(*[F.lit(w) for w in stopwords])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    """Column: tokens without the given stop words (T4).  ``isin`` over constants becomes a
+    hash set; an array would be walked for every token."""
+    return F.filter(tokens, lambda t: ~t.isin(*stopwords))
 
 
 def adjacent_pairs(tokens, combine):

@@ -56,3 +56,17 @@ def test_ratio_bound_is_never_below_the_ratio(spark):
     got = spark.createDataFrame(rows, "a string, b string").select(long_fuzzy_ratio("a", "b").alias("ratio"), ratio_bound("a", "b").alias("bound")).collect()
     assert all(x.bound >= x.ratio for x in got) and sum(x.bound < 60 for x in got) > 100
     assert spark.sql("SELECT 'abc' a, 'cba' b").select(ratio_bound("a", "b")).first()[0] == 100.0
+
+
+def test_stop_words_and_lexicon_are_looked_up_in_a_hash_set(spark):
+    from lexicrate.functions.constants import CONTRACTIONS, ENGLISH_STOPWORDS
+    from lexicrate.operators import tokens as T
+    df = spark.createDataFrame([(["the", "cat", None, "and", "a b"],), (None,), ([],), (["it", "dont"],)], "t array<string>")
+    kept = df.select(T.remove_stopwords(F.col("t"), ENGLISH_STOPWORDS).alias("k"))
+    assert [r.k for r in kept.collect()] == [["cat", "a b"], None, [], ["dont"]]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" in plan.upper() and "array_contains" not in plan
+    normal = T.lexicon_normalise(df, "t", CONTRACTIONS, out="n").select("t", "n")
+    assert "INSET" in normal._jdf.queryExecution().optimizedPlan().toString().upper()
+    want = " ".join([CONTRACTIONS.get(x, x) for x in ["it", "dont"]]).split(" ")
+    assert [r.n for r in normal.collect()] == [None, None, [], want]
