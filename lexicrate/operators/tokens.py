@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexicrate.functions.text import explode_tokens, word_tokens
+from lexicrate.session import materialize
 
 
 
@@ -75,15 +76,17 @@ def mine_phrases(df: DataFrame, tokens_col: str, *, min_count: int = 5,
 
     Bigrams are made inside each row (``transform`` over positions), counted
     with partial aggregation, then scored by normalised PMI against unigram
-    counts.  Columns: phrase, n, npmi."""
-    toks = F.col(tokens_col)
+    counts.  The tokens are written once, and of each count only what is scored: words, and
+    pairs of at least ``min_count`` with one row for all others.  Columns: phrase, n, npmi."""
+    df, toks = materialize(df.select(tokens_col)), F.col(tokens_col)
     bigrams = adjacent_pairs(toks, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    uni = (explode_tokens(df, toks, keep=[], alias="w").groupBy("w").agg(F.count(F.lit(1)).alias("nw")))
+    uni = materialize(explode_tokens(df, toks, keep=[], alias="w").groupBy("w").agg(F.count(F.lit(1)).alias("nw")))
     bi = (explode_tokens(df, bigrams, keep=[], alias="g").select("g.a", "g.b")
           .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+    bi = materialize(bi.groupBy(F.when(F.col("n") >= min_count, F.struct("a", "b")).alias("g")).agg(F.sum("n").alias("n")))
     n_uni = uni.select(F.sum("nw")).scalar()
     n_bi = bi.select(F.sum("n")).scalar()
-    scored = (bi.where(F.col("n") >= min_count)
+    scored = (bi.where(F.col("g").isNotNull()).select("g.a", "g.b", "n")
               .join(uni.select(F.col("w").alias("a"), F.col("nw").alias("na")), "a")
               .join(uni.select(F.col("w").alias("b"), F.col("nw").alias("nb")), "b"))
     p_ab = F.col("n") / n_bi

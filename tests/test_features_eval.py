@@ -33,6 +33,17 @@ def test_select_tokens_keeps_order_and_repeats(spark):
     assert got == {1: "b b c", 2: "", 3: None}
 
 
+def test_phrases_are_scored_from_written_counts(spark):
+    """Tokens are read and pairs counted once: the scoring reads the counts and splits no row again."""
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a", "b"],), (["c", None, "a"],), ([],), (None,), (["d"],)], "toks array<string>")
+    got = TK.mine_phrases(df, "toks", min_count=2, min_npmi=-1)
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    (row,) = got.collect()
+    p, pa, pb = 2 / 5, 3 / 8, 2 / 8  # 5 pairs, the null token's included; 8 words
+    assert (row.phrase, row.n) == ("a b", 2) and math.isclose(row.npmi, math.log(p / (pa * pb)) / -math.log(p))
+    assert TK.mine_phrases(df, "toks", min_count=3, min_npmi=-1).count() == 0
+
+
 def test_lexicon_join_path_keeps_word_order(spark):
     df = spark.createDataFrame([(1, ["i", "dont", "know"])], "id long, toks array<string>")
     lex = spark.createDataFrame([("dont", "do not")], "token string, replacement string")
