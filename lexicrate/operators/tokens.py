@@ -9,12 +9,22 @@ lexicon, a selected vocabulary), and the document is then rebuilt from
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lexicrate.functions.text import explode_tokens, word_tokens
+from lexicrate.operators.features import frequent_part
+from lexicrate.operators.joins import free_name
 from lexicrate.session import materialize
 
+#: Most frequent tokens of which each task knows whether they are selected.
+BROADCAST_TOKENS = 1 << 16
 
 
 def token_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -115,20 +125,69 @@ def append_phrases_join(df: DataFrame, id_col: str, tokens_col: str, phrases: Da
             .drop("_found"))
 
 
+def _runs(lists: pa.Array, tokens: pa.Array, kept: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """(runs, open) of token lists: the kept tokens of a row joined by spaces, and the tokens that are neither
+    among ``tokens`` (with ``kept`` for each) nor null.  The k-th open token stands between runs k and k + 1; an
+    empty run is null, and so is the list of a null row."""
+    valid = lists.is_valid().to_numpy(zero_copy_only=False)
+    coded, row = lists.flatten().dictionary_encode(), pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+    known = pc.index_in(coded.dictionary, value_set=tokens).fill_null(-1).to_numpy()
+    state = np.where(known < 0, 2, kept[known] if len(kept) else 0)  # 0 dropped, 1 kept, 2 open
+    there = coded.indices.is_valid().to_numpy(zero_copy_only=False)
+    codes, row = coded.indices.drop_null().to_numpy(), row[there]
+    state = state[codes]
+    is_open = state == 2
+    n_open = np.bincount(row[is_open], minlength=len(lists))
+    n_runs = np.where(valid, n_open + 1, 0)
+    first = np.cumsum(n_runs) - n_runs
+    run = first[row] + np.cumsum(is_open) - (np.cumsum(n_open) - n_open)[row]
+    sizes = np.bincount(run[state == 1], minlength=n_runs.sum())
+
+    def ends(sizes: np.ndarray) -> pa.Array:
+        return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    joined = pc.binary_join(pa.ListArray.from_arrays(ends(sizes), coded.dictionary.take(pa.array(codes[state == 1]))), " ")
+    joined = pc.if_else(pa.array(sizes > 0), joined, pa.scalar(None, joined.type))
+    return (pa.ListArray.from_arrays(ends(n_runs), joined, mask=pa.array(~valid)),
+            pa.ListArray.from_arrays(ends(n_open), coded.dictionary.take(pa.array(codes[is_open]))))
+
+
 def select_tokens(df: DataFrame, id_col: str, tokens_col: str, vocabulary: DataFrame,
-                  *, out: str = "selected") -> DataFrame:
+                  *, out: str = "selected", counts: DataFrame | None = None, keep_tokens: bool = True) -> DataFrame:
     """Keep the tokens that are in ``vocabulary`` (column ``token``), order and
     repeats preserved; rows with no survivor get '' and NULL text stays NULL (T7).
 
-    The vocabulary can be large, so this is a semi join on the token; each
-    document is then rebuilt from its own (pos, token) rows."""
-    ex = explode_tokens(df, F.col(tokens_col), keep=[id_col], with_pos="pos")
-    kept = ex.join(vocabulary.select("token").distinct(), "token", "left_semi")
-    rebuilt = _regroup(kept, id_col, "token", df).withColumnRenamed("tokens", "_kept")
-    return (df.join(rebuilt, id_col, "left")
-            .withColumn(out, F.when(F.col(tokens_col).isNull(), F.lit(None).cast("string"))
-                        .otherwise(F.array_join("_kept", " ")))
-            .drop("_kept"))
+    The vocabulary can be large.  Of the ``BROADCAST_TOKENS`` most frequent tokens (``counts``: token, n; counted here
+    if not given) each task knows whether they are in it, and joins the kept ones to runs where the row is.  Only
+    the occurrences of rarer tokens, few by definition, go out by token; those found come back by row, and
+    the row itself moves once, as its runs.  Rows are told apart by a key of their own, not by ``id_col``.
+    Columns: those of ``df`` (without the tokens unless ``keep_tokens``) and ``out``."""
+    taken = df.columns
+    key, runs, rest = (free_name(n, [*taken, out]) for n in ("_key", "_runs", "_open"))
+    rows = df.withColumn(key, F.monotonically_increasing_id())
+    if counts is None:
+        counts = explode_tokens(df, F.col(tokens_col), keep=[]).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    vocabulary = vocabulary.select("token", F.lit(True).alias("kept")).distinct()
+    counts = materialize(counts.select("token", "n").join(vocabulary, "token", "left").select("token", "n", F.coalesce("kept", F.lit(False)).alias("kept")))
+    is_hot = frequent_part(counts, "n", BROADCAST_TOKENS)
+    hot = counts.where(is_hot).select("token", "kept").toArrow()
+    tokens, kept = hot["token"].combine_chunks(), hot["kept"].to_numpy().astype(np.int64)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns))
+            found = _runs(columns[tokens_col], tokens, kept)
+            yield pa.RecordBatch.from_arrays([*(columns[c] for c in carried), *found], names=[*carried, runs, rest])
+    carried = [c for c in rows.columns if keep_tokens or c != tokens_col]
+    schema = StructType([rows.schema[c] for c in carried] + [StructField(c, ArrayType(StringType())) for c in (runs, rest)])
+    rows = materialize(rows.mapInArrow(split, schema))
+    open_tokens = explode_tokens(rows, F.col(rest), keep=[key], with_pos="pos")
+    seldom = (open_tokens.join(counts.where(~is_hot & F.col("kept")).select("token").hint("merge"), "token", "left_semi")
+              .groupBy(key).agg(F.collect_list(F.struct((F.col("pos") * 2 + 1).alias("at"), F.col("token").alias("s"))).alias(rest)))
+    own = F.transform(F.col(runs), lambda s, k: F.struct((k * 2).alias("at"), s.alias("s")))
+    whole = F.array_sort(F.concat(own, F.coalesce(F.col(rest), F.array().cast("array<struct<at:int,s:string>>"))))
+    return (rows.drop(rest).join(seldom, key, "left")
+            .withColumn(out, F.array_join(F.transform(whole, lambda x: x["s"]), " "))
+            .select(*[F.col(f"`{c}`") for c in taken if c in carried and c != out], out))
 
 
 def map_values(df: DataFrame, col: str, mapping, *, out: str | None = None,

@@ -9,8 +9,9 @@ from lexicrate.functions.text import word_tokens
 from lexicrate.operators import keyness as K
 from lexicrate.operators import tokens as T
 from lexicrate.plans import sql as S
-from lexicrate.plans.keyness_queries import SELECT_N, _RATIOS_SQL, _grid_sql, _sparse
+from lexicrate.plans.keyness_queries import SELECT_N, _RATIOS_SQL, _grid_sql
 from lexicrate.plans.registry import query
+from lexicrate.session import materialize
 from lexicrate.tables import table
 
 _WT = S.word_tokens("text")
@@ -132,8 +133,12 @@ kept AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS s FROM t
 SELECT d.doc_id, coalesce(k.s, '') AS selected FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """)
 def select_tokens(spark, sf):
-    vocab = K.feature_selection(_sparse(spark, sf), n=SELECT_N)
-    return T.select_tokens(_docs(spark, sf), "doc_id", "tokens", vocab).select("doc_id", "selected")
+    # texts are split once, for the ratios and the selection
+    d = materialize(table(spark, sf, "documents").select("doc_id", "lang", word_tokens("text").alias("tokens")))
+    ratios = K.sparse_ratios(d, label_col="lang", tokens_col="tokens")
+    vocab = K.feature_selection(ratios, n=SELECT_N)
+    counts = ratios.tokens.select("token", F.col("total_freq").alias("n"))
+    return T.select_tokens(d.select("doc_id", "tokens"), "doc_id", "tokens", vocab, counts=counts, keep_tokens=False).select("doc_id", "selected")
 
 
 @query("region_map", oracle="""

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,25 @@ def test_select_tokens_keeps_order_and_repeats(spark):
     assert got == {1: "b b c", 2: "", 3: None}
 
 
+def test_select_tokens_moves_only_rare_tokens(spark, monkeypatch):
+    """Frequent tokens are decided where the row is; rare ones, repeated ids, nulls and empty tokens come out as in plain Python."""
+    monkeypatch.setattr(TK, "BROADCAST_TOKENS", 6)
+    rnd = random.Random(4)
+    words = [*"abcdef"] * 30 + [f"r{k}" for k in range(40)] + ["", None, "x y", "\x00"]
+    rows = [(rnd.choice([k, 7, None]), [rnd.choice(words) for _ in range(rnd.randrange(20))]) for k in range(60)] + [(90, None), (91, []), (92, [None])]
+    df = spark.createDataFrame(rows, "id long, toks array<string>").repartition(3)
+    vocab = {"a", "c", "f", "", "x y", "\x00"} | {f"r{k}" for k in range(0, 40, 3)}
+    exploded = []
+    real = TK.explode_tokens
+    monkeypatch.setattr(TK, "explode_tokens", lambda *a, **k: exploded.append(real(*a, **k)) or exploded[-1])
+    got = TK.select_tokens(df, "id", "toks", spark.createDataFrame([(w,) for w in vocab], "token string"))
+    want = [(i, t, None if t is None else " ".join(w for w in t if w in vocab)) for i, t in rows]
+    assert got.columns == ["id", "toks", "selected"]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    n = sum(len(t or []) for _, t in rows)
+    assert exploded[-1].count() < n / 2
+
+
 def test_phrases_are_scored_from_written_counts(spark):
     """Tokens are read and pairs counted once: the scoring reads the counts and splits no row again."""
     df = spark.createDataFrame([(["a", "b", "c"],), (["a", "b"],), (["c", None, "a"],), ([],), (None,), (["d"],)], "toks array<string>")
